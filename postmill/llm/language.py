@@ -39,19 +39,22 @@ NAMES = {
 
 @dataclass(frozen=True)
 class Settings:
-    """bits: size of the hashed n-gram space. sample_rows: labelled rows per
-    language the model is fitted on at most (the only bounded step). epochs,
-    batch, alpha, beta, l1, l2: FTRL. switch: cost of a change of language
+    """bits: size of the hashed n-gram space. sample_rows: labelled rows the
+    model is fitted on at most, drawn evenly by the hash of the id (the only
+    bounded step). epochs,
+    batch, alpha, beta, l1, l2: FTRL; clean_alpha: its step in the coarse fits
+    that tell wrong labels. switch: cost of a change of language
     between lines. low_words, low_own: spaced words in lower case, characters
     of an unspaced script, from which a line says something about its language.
     contact_chars: a line with contact data and less prose than this says nothing.
     """
 
     bits: int = 15
-    sample_rows: int = 300
+    sample_rows: int = 3000
     epochs: int = 3
     batch: int = 128
     alpha: float = 0.5
+    clean_alpha: float = 0.5
     beta: float = 1.0
     l1: float = 0.02
     l2: float = 0.02
@@ -64,9 +67,18 @@ class Settings:
 _BREAK = re.compile(r"\r\n|[\n\r\v\f\x85  ]")
 _BLOCK = re.compile(r"(?i)<(?:br|/p|/li|/div|/h\d|/tr)\b[^<>]*>")
 _CONTACT = re.compile(r"[@＠]|\[at\]| at \w+ dot |\d[\d\-. ()]{7,}\d|\bSoi\b|\bMoo\b|\b(?:St|Street|Road|Rd|Lane|Avenue|Close|Boulevard)\b")
+_ITEMS = re.compile(r"\s*(?:[/,;|•・、，]| and )\s*")
 _CLASS: np.ndarray | None = None
 
 
+def _listed(line: str) -> bool:
+    """Is the line a list of at least three short items, as of tools?"""
+    if len(line) > 160:
+        return False
+    items = _ITEMS.split(re.sub(r"^[^:：]{0,25}[:：]", "", line))
+    return len(items) >= 3 and all(len(x.split()) <= 3 and len(x) <= 28 for x in items)
+
+
 def lines_of(text: str) -> list[str]:
     """The non-blank lines of a text, without tags, entities and invisible characters."""
     if "&" in text:
@@ -97,26 +109,28 @@ def grams(lines: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     if _CLASS is None:
         _CLASS = _classes()
     n = len(lines)
-    raw = np.frombuffer(("\n" + "\n".join(lines) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-    raw = np.minimum(raw, 0xFFFF)
-    line = np.cumsum(raw == 10) - 1
+    joined = "\n".join(["", *lines, ""])
+    raw = np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), np.uint32(0xFFFF))
+    line = np.cumsum(raw == 10, dtype=np.int32) - 1
     cls = _CLASS[raw]
-    low = np.frombuffer(("\n" + "\n".join(lines) + "\n").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    low = raw if len(low) != len(raw) else np.minimum(low, 0xFFFF)
+    low = np.frombuffer(joined.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    low = raw if len(low) != len(raw) else np.minimum(low, np.uint32(0xFFFF))
     prev = np.concatenate(([0], cls[:-1]))
     words = np.bincount(line[(cls == 1) & (prev == 0)], minlength=n + 1)[:n]
     own = np.bincount(line[cls == 3], minlength=n + 1)[:n]
-    # letters and single gaps
-    keep = (cls > 0) | (prev > 0)
-    x, at = np.where(cls[keep] > 0, low[keep], 32).astype(np.uint64), line[keep]
+    # letters and single gaps, hashed in 32 bits
+    keep = np.flatnonzero((cls > 0) | (prev > 0))
+    x, at = np.where(cls[keep] > 0, low[keep], np.uint32(32)), line[keep]
     if len(x) < 3:
         e = np.empty(0, np.int64)
         return e, e, words, own
-    shift = np.uint64(64 - bits)
-    two = mix(x[:-1] * np.uint64(0x10001) + x[1:] + np.uint64(1 << 40)) >> shift
-    three = mix((x[:-2] << np.uint64(32)) + (x[1:-1] << np.uint64(16)) + x[2:] + np.uint64(1 << 50)) >> shift
-    ok2, ok3 = at[:-1] == at[1:], at[:-2] == at[2:]
-    g, d = np.concatenate([two[ok2], three[ok3]]), np.concatenate([at[:-1][ok2], at[:-2][ok3]])
+    shift = np.uint32(32 - bits)
+    a = x * np.uint32(0x9E3779B1)
+    pair = (a[:-1] ^ (a[:-1] >> np.uint32(15))) + x[1:] * np.uint32(0x85EBCA77)
+    three = ((pair[:-1] ^ (pair[:-1] >> np.uint32(13))) * np.uint32(0xC2B2AE3D) + x[2:] * np.uint32(0x27D4EB2F)) * np.uint32(0x165667B1) >> shift
+    two = (pair ^ (pair >> np.uint32(16))) * np.uint32(0x7FEB352D) >> shift
+    ok2, ok3 = np.flatnonzero(at[:-1] == at[1:]), np.flatnonzero(at[:-2] == at[2:])
+    g, d = np.concatenate([two[ok2], three[ok3]]), np.concatenate([at[ok2], at[ok3]])
     return g.astype(np.int64), d, words, own
 
 
@@ -125,7 +139,6 @@ class Model:
     settings: Settings
     idf: np.ndarray
     weights: np.ndarray = field(default=None)  # type: ignore[assignment]
-    bias: np.ndarray = field(default=None)  # type: ignore[assignment]
     temperature: float = 1.0
 
     def scores(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -136,29 +149,29 @@ class Model:
         if len(g):
             table = self.idf[:, None] * self.weights
             norm = np.bincount(d, self.idf[g] ** 2, minlength=n).astype(np.float32)
-            half = np.flatnonzero(np.diff(d) < 0)
-            for part in np.split(np.arange(len(d)), half + 1):  # the 2-grams, then the 3-grams: each in the order of the lines
-                starts = part[np.flatnonzero(np.concatenate(([True], d[part][1:] != d[part][:-1])))]
-                s[d[starts]] += np.add.reduceat(table[g[part]], starts - part[0], axis=0)
+            w = table[g]
+            starts = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))  # the 2-grams, then the 3-grams: each in the order of the lines
+            np.add.at(s, d[starts], np.add.reduceat(w, starts, axis=0))
         return s, norm, words, own
 
     def probabilities(self, s: np.ndarray, norm: np.ndarray) -> np.ndarray:
-        z = (s / np.sqrt(np.maximum(norm, 1e-9))[:, None] + self.bias) / self.temperature
+        z = (s / np.sqrt(np.maximum(norm, 1e-9))[:, None]) / self.temperature
         e = np.exp(z - z.max(1, keepdims=True))
         return e / e.sum(1, keepdims=True)
 
 
-def fit_ftrl(model: Model, lines: list[str], y: np.ndarray) -> None:
-    """Fit weights and bias by FTRL-proximal with an elastic net, in mini-batches in a fixed order."""
+def fit_ftrl(model: Model, lines: list[str], y: np.ndarray, alpha: float, epochs: int) -> None:
+    """Fit the weights by FTRL-proximal with an elastic net, in mini-batches in a fixed order."""
     s, k, size = model.settings, len(LANGS), 1 << model.settings.bits
     z, n = np.zeros((size, k)), np.zeros((size, k))
-    bias, bias_n = np.zeros(k), np.zeros(k)
 
     def solved(zz: np.ndarray, nn: np.ndarray) -> np.ndarray:
-        return np.where(np.abs(zz) <= s.l1, 0.0, -(zz - np.sign(zz) * s.l1) / ((s.beta + np.sqrt(nn)) / s.alpha + s.l2))
+        return np.where(np.abs(zz) <= s.l1, 0.0, -(zz - np.sign(zz) * s.l1) / ((s.beta + np.sqrt(nn)) / alpha + s.l2))
 
+    share = np.bincount(y, minlength=k)
+    weight = np.sqrt(share.max() / np.maximum(share, 1))  # rare languages count for more, but not as much as the common one
     order = np.argsort(mix(np.arange(len(lines), dtype=np.uint64)))
-    for _ in range(s.epochs):
+    for _ in range(epochs):
         for i in range(0, len(order), s.batch):
             pick = order[i : i + s.batch]
             g, d, _, _ = grams([lines[j] for j in pick], s.bits)
@@ -169,18 +182,16 @@ def fit_ftrl(model: Model, lines: list[str], y: np.ndarray) -> None:
             norm = np.sqrt(np.maximum(np.bincount(d, x**2, minlength=len(pick)), 1e-9))
             x = x / norm[d]
             w = solved(z[u], n[u])
-            score = np.stack([np.bincount(d, x * w[inv, c], minlength=len(pick)) for c in range(k)], 1) + bias
+            score = np.stack([np.bincount(d, x * w[inv, c], minlength=len(pick)) for c in range(k)], 1)
             p = np.exp(score - score.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(pick)), y[pick]] -= 1
+            p *= weight[y[pick]][:, None]
             grad = np.stack([np.bincount(inv, x * p[d, c], minlength=len(u)) for c in range(k)], 1)
-            sigma = (np.sqrt(n[u] + grad**2) - np.sqrt(n[u])) / s.alpha
+            sigma = (np.sqrt(n[u] + grad**2) - np.sqrt(n[u])) / alpha
             z[u] += grad - sigma * w
             n[u] += grad**2
-            gb = p.sum(0)
-            bias_n += gb**2
-            bias -= s.alpha * gb / (1 + np.sqrt(bias_n))
-    model.weights, model.bias = solved(z, n).astype(np.float32), bias.astype(np.float32)
+    model.weights = solved(z, n).astype(np.float32)
 
 
 def calibrate(model: Model, lines: list[str], y: np.ndarray) -> None:
@@ -189,7 +200,7 @@ def calibrate(model: Model, lines: list[str], y: np.ndarray) -> None:
     if not len(lines):
         return
     s, norm, _, _ = model.scores(lines)
-    z = s / np.sqrt(np.maximum(norm, 1e-9))[:, None] + model.bias
+    z = s / np.sqrt(np.maximum(norm, 1e-9))[:, None]
     best = None
     for t in np.geomspace(0.05, 10, 60):
         q = z / t
@@ -244,50 +255,45 @@ def train(texts: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """Fit a model on `texts` (id, text) with the noisy codes of `labels` (id, code).
 
     Frequencies come from all texts. The regression is fitted on at most
-    `sample_rows` labelled texts per language, chosen by the hash of the id, and
-    fitted again without the lines that the first fit gives to another language
+    `sample_rows` labelled texts in their natural proportions (a rare language
+    has many wrong labels of a common one), and fitted again without the lines that the first fit gives to another language
     with certainty (wrong labels and other passages of mixed texts).
     """
     s = settings
     df, n = document_frequencies(texts, "text", s)
     model = Model(s, np.log((1 + n) / (1 + df)).astype(np.float32) + 0.1)
-    model.weights, model.bias = np.zeros((1 << s.bits, len(LANGS)), np.float32), np.zeros(len(LANGS), np.float32)
+    model.weights = np.zeros((1 << s.bits, len(LANGS)), np.float32)
     known = labels.where("code is not null and id is not null")
-    sizes = {r[0]: r[1] for r in known.groupBy("code").count().collect()}
-    if not sizes:
+    total = known.count()
+    if not total:
         return model
-    rate = F.create_map(*[F.lit(x) for c, k in sizes.items() for x in (c, min(1.0, 1.3 * s.sample_rows / k))])
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003
-    picked = known.withColumn("place", place).where(place < rate[F.col("code")]).select("id", "code", "place")
-    rows = texts.join(F.broadcast(picked), "id").dropDuplicates(["id"]).orderBy("place", "id").limit(int(1.3 * s.sample_rows * len(LANGS) * 1.2)).collect()
-    taken: dict[str, int] = {}
+    picked = known.withColumn("place", place).where(F.col("place") < min(1.0, 1.2 * s.sample_rows / total)).select("id", "code", "place").orderBy("place", "id").limit(s.sample_rows)
+    rows = texts.join(F.broadcast(picked), "id").dropDuplicates(["id"]).orderBy("place", "id").collect()
     lines, y, held_lines, held_y = [], [], [], []
-    for r in rows:
+    for k, r in enumerate(rows):
         if not isinstance(r["text"], str):
             continue
-        taken[r["code"]] = taken.get(r["code"], 0) + 1
-        if taken[r["code"]] > s.sample_rows:
-            continue
-        held = taken[r["code"]] % 5 == 0
+        held, code = k % 6 == 0, LANGS.index(r["code"])
         for ln in lines_of(r["text"]):
             if sum(c.islower() for c in ln) >= 12 or any(ord(c) > 0xE00 for c in ln):
                 (held_lines if held else lines).append(ln)
-                (held_y if held else y).append(LANGS.index(r["code"]))
-                if not held and r["code"] in ("vi", "fr", "de") and len(lines) % 3 == 0:
+                (held_y if held else y).append(code)
+                if not held and r["code"] in ("vi", "fr", "de"):
                     lines.append(_plain(ln))
-                    y.append(LANGS.index(r["code"]))
+                    y.append(code)
     if not lines:
         return model
     labels_y = np.array(y)
-    fit_ftrl(model, lines, labels_y)
-    for _ in range(2):
+    fit_ftrl(model, lines, labels_y, s.clean_alpha, 1)
+    for last in (False, True):
         p = model.probabilities(*model.scores(lines)[:2])
-        sure = p[np.arange(len(lines)), labels_y] >= 0.5 * p.max(1)
-        fit_ftrl(model, [x for x, ok in zip(lines, sure, strict=True) if ok], labels_y[sure])
+        sure = p.argmax(1) == labels_y
+        fit_ftrl(model, [x for x, ok in zip(lines, sure, strict=True) if ok], labels_y[sure], s.alpha if last else s.clean_alpha, s.epochs if last else 1)
     if held_lines:
         hy = np.array(held_y)
         p = model.probabilities(*model.scores(held_lines)[:2])
-        near = p[np.arange(len(hy)), hy] >= 0.05 * p.max(1)
+        near = p[np.arange(len(hy)), hy] >= 0.2 * p.max(1)
         calibrate(model, [x for x, ok in zip(held_lines, near, strict=True) if ok], hy[near])
     return model
 
@@ -301,50 +307,48 @@ def passages(texts: list[str], model: Model) -> list[list[tuple[str, float, int]
         return [[] for _ in texts]
     sums, norm, words, own = model.scores(flat)
     says = (words >= s.low_words) | (own >= s.low_own)
-    for i, ln in enumerate(flat):
-        if says[i] and (words[i] * 6 + own[i] < s.contact_chars) and _CONTACT.search(ln):
+    short = np.fromiter(map(len, flat), np.int64, len(flat)) <= 160
+    weak = words * 6 + own < s.contact_chars
+    for i in np.flatnonzero(says & (short | weak)).tolist():
+        if short[i] and _listed(flat[i]) or weak[i] and _CONTACT.search(flat[i]):
             says[i] = False
     prob = model.probabilities(sums, norm)
     best = prob.argmax(1)
-    out, at = [], 0
-    for p in per:
-        k = len(p)
-        i = np.arange(at, at + k)
-        at += k
-        use = i[says[i]]
-        if not len(use):
-            use = i[norm[i] > 0]
-        if not len(use):
-            out.append([])
-            continue
-        if (best[use] == best[use[0]]).all():
-            runs = [(int(best[use[0]]), i)]
-        else:
-            loss = -np.log(np.maximum(prob[use], 1e-5))
-            cost, back = loss[0], []
-            for row in loss[1:]:
-                stay, move = cost, cost.min() + s.switch
-                back.append(np.where(stay <= move, np.arange(len(LANGS)), cost.argmin()))
-                cost = np.minimum(stay, move) + row
-            state = [int(cost.argmin())]
-            for b in reversed(back):
-                state.append(int(b[state[-1]]))
-            state.reverse()
-            lang = np.full(k, -1)
-            lang[use - i[0]] = state
-            # lines that say nothing belong to the passage before them, at the start to the one after
-            for j in range(1, k):
-                if lang[j] < 0:
-                    lang[j] = lang[j - 1]
-            lang[lang < 0] = state[0]
-            cuts = np.flatnonzero(np.concatenate(([True], lang[1:] != lang[:-1])))
-            runs = [(int(lang[a]), i[a:b]) for a, b in zip(cuts, [*cuts[1:], k], strict=True)]
-        row = []
-        for code, part in runs:
-            mine = part[says[part]] if says[part].any() else part
-            q = model.probabilities(sums[mine].sum(0, keepdims=True), norm[mine].sum(keepdims=True))[0]
-            row.append((LANGS[code], float(q[code]), len(part)))
-        out.append(row)
+    size = np.fromiter(map(len, per), np.int64, len(per))
+    ends = np.cumsum(size)
+    # a text whose telling lines agree is one passage; the others are smoothed one by one
+    text = np.repeat(np.arange(len(per)), size)
+    any_says = np.bincount(text, says, minlength=len(per)) > 0
+    use = says | (~any_says[text] & (norm > 0))
+    at = np.flatnonzero(use)
+    first = np.zeros(len(per), np.int64)
+    first[text[at][::-1]] = at[::-1]
+    told = np.bincount(text, use, minlength=len(per)) > 0
+    differ = np.bincount(text[at], best[at] != best[first[text[at]]], minlength=len(per)) > 0
+    lang = np.where(told[text], best[first[text]], -1)
+    for t in np.flatnonzero(differ).tolist():
+        i = np.arange(ends[t] - size[t], ends[t])
+        k = i[use[i]]
+        loss = -np.log(np.maximum(prob[k], 1e-5))
+        cost, back = loss[0], []
+        for row in loss[1:]:
+            back.append(np.where(cost <= cost.min() + s.switch, np.arange(len(LANGS)), cost.argmin()))
+            cost = np.minimum(cost, cost.min() + s.switch) + row
+        state = [int(cost.argmin())]
+        for b in reversed(back):
+            state.append(int(b[state[-1]]))
+        state.reverse()
+        # lines that say nothing belong to the passage before them, at the start to the one after
+        place = np.searchsorted(k, i, "right") - 1
+        lang[i] = np.array(state)[np.maximum(place, 0)]
+    start = np.flatnonzero(np.concatenate(([True], (lang[1:] != lang[:-1]) | (text[1:] != text[:-1]))))
+    own_lines = np.add.reduceat(use, start)
+    weight = np.where(np.repeat(own_lines > 0, np.diff(np.append(start, len(flat)))), use, True)
+    q = model.probabilities(np.add.reduceat(sums * weight[:, None], start, axis=0), np.add.reduceat(norm * weight, start))
+    out: list[list[tuple[str, float, int]]] = [[] for _ in texts]
+    for j, (t, code, n) in enumerate(zip(text[start].tolist(), lang[start].tolist(), np.diff(np.append(start, len(flat))).tolist(), strict=True)):
+        if code >= 0:
+            out[t].append((LANGS[code], float(q[j, code]), n))
     return out
 
 
@@ -358,7 +362,7 @@ def detect(texts: DataFrame, model: Model) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             texts = list(pdf["text"])
-            ends = np.cumsum([len(t) if isinstance(t, str) else 0 for t in texts]) // 600_000
+            ends = np.cumsum([len(t) if isinstance(t, str) else 0 for t in texts]) // 120_000
             for _, part in pd.Series(range(len(texts))).groupby(ends):
                 i = part.to_numpy()
                 found = passages([texts[j] for j in i], model)
