@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postmill.sources.tables import shared_dir, stored
+
 # Words that stand around a name without changing what is meant.
 BEFORE = "experience with|experience in|experience of|use of|using|knowledge in|knowledge of|working knowledge of|strong|good|solid|proficient in|proficiency in|familiar with|familiarity with|skills in|expert in|hands-on"
 AFTER = "skills|skill|knowledge|experience|expertise|basics|certified|proficiency"
@@ -78,7 +80,9 @@ def token_set(s: str) -> list[str]:
 
 def distance(a: str, b: str, most: int) -> int:
     """Edits (insert, delete, replace, swap of two with anything edited between them) from a to b, or most + 1 if there are more."""
-    if abs(len(a) - len(b)) > most:
+    if a == b:
+        return 0
+    if abs(len(a) - len(b)) > most or most == 0:
         return most + 1
     big = len(a) + len(b)
     d = [[big] * (len(b) + 2) for _ in range(len(a) + 2)]
@@ -132,11 +136,12 @@ def map_values(values: DataFrame, entries: DataFrame, settings: Settings = Setti
     have no entry. No side is assumed small: the joins are equi-joins on
     tokens and keys, which AQE broadcasts only below its size threshold.
     """
-    s = settings
-    keyed = values.where("value is not null").distinct().withColumn("key", _written("value"))
-    left = keyed.select("key").distinct().select("key", _tokens("key").alias("toks"))
+    s, base = settings, shared_dir(values.sparkSession)
+    keyed = stored(values.where("value is not null").distinct().withColumn("key", _written("value")), f"{base}/keyed")
+    left = stored(keyed.select("key").distinct().select("key", _tokens("key").alias("toks")), f"{base}/left")
     right = entries.where("name is not null and entry_id is not null").select("entry_id", _written("name").alias("name")).distinct()
     right = right.withColumn("name_id", F.concat_ws("\x01", F.col("entry_id").cast("string"), "name")).withColumn("toks", _tokens("name"))
+    right = stored(right, f"{base}/right")
     both = left.select(F.explode("toks").alias("token")).unionAll(right.select(F.explode("toks").alias("token")))
     rarity = both.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
@@ -145,7 +150,8 @@ def map_values(values: DataFrame, entries: DataFrame, settings: Settings = Setti
         pre = sets.select(key, F.size("toks").alias(size), F.posexplode(F.slice("toks", F.lit(1), kept.cast("int"))).alias(place, "token"))
         return pre
 
-    lo, ro = _ordered(left, rarity, "key"), _ordered(right, rarity, "name_id")
+    rarity = stored(rarity, f"{base}/rarity")
+    lo, ro = stored(_ordered(left, rarity, "key"), f"{base}/left-ordered"), stored(_ordered(right, rarity, "name_id"), f"{base}/right-ordered")
     pairs = prefixed(lo, "key", "nx", "px").join(prefixed(ro, "name_id", "ny", "py"), "token")
     need = s.jaccard / (1 + s.jaccard) * (F.col("nx") + F.col("ny"))
     pairs = pairs.where((F.col("ny") >= s.jaccard * F.col("nx")) & (F.col("nx") >= s.jaccard * F.col("ny")))
@@ -164,7 +170,9 @@ def map_values(values: DataFrame, entries: DataFrame, settings: Settings = Setti
         for k, n in zip(key, name_id, strict=True):
             name = squashed(n.split("\x01", 1)[1])
             most = 0 if len(name) <= s.exact_up_to else 1 if len(name) <= s.one_edit_up_to else s.edits
-            best = min(distance(x, name, most) for x in _orders(k))
+            best = distance(squashed(k), name, most)
+            if best > most:
+                best = min((distance(x, name, most) for x in _orders(k)[1:]), default=best)
             out.append(best if best <= most else None)
         return pd.Series(out, dtype="Int32")
 
