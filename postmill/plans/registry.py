@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from postmill.plans import snapshots
+from postmill.plans import duplicates, marts, snapshots, texts
 
-MODULES = (snapshots,)
+MODULES = (snapshots, texts, duplicates, marts)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in MODULES for k, s in m.SQL.items()}
-FLAGSHIP = "p1_found"
+FLAGSHIP = "near_dup_groups"
