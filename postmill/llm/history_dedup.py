@@ -22,23 +22,23 @@ from postmill.llm.textarrays import clean, mix, shingles, tokens
 from postmill.operators.components import connected_components
 from postmill.sources.tables import shared_dir, stored
 
-PERMS = 32
+PERMS = 24
 
 
 @dataclass(frozen=True)
 class Settings:
     """keys: sort keys per text. ranges: key ranges (folders) of a key; more of
     them make a small batch read less of a large history. window: neighbours
-    compared on each side. sketch_min: equal bytes of 32 that a candidate
+    compared on each side. sketch_min: equal bytes of 24 that a candidate
     needs. word_shingle, char_shingle: tokens of a shingle in spaced and
     unspaced texts. agree: overlap of the token bags (2 * common / both) from
     which texts are copies. compact_every: batches between compactions.
     """
 
-    keys: int = 8
+    keys: int = 7
     ranges: int = 4
     window: int = 8
-    sketch_min: int = 11
+    sketch_min: int = 10
     word_shingle: int = 3
     char_shingle: int = 8
     agree: float = 0.83
