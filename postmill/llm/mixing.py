@@ -54,7 +54,7 @@ def rates(have: dict[str, int], target: dict[str, float], repeats: dict[str, int
 def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Probabilities after the flight: all 0 or 1 except at most two, with sums of p and of p * size unchanged."""
     p = p.astype(float).copy()
-    t = size / max(float(size.mean()), 1e-9)
+    t = size / max(float(size.mean()) if len(size) else 0.0, 1e-9)
     eps = 1e-9
     wait = [i for i in range(len(p)) if eps < p[i] < 1 - eps]
     wait.reverse()

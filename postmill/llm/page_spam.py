@@ -105,7 +105,7 @@ def unit_table(texts: list[str], s: Settings) -> pd.DataFrame:
     h, doc, st, ln, own = tokens(texts)
     m, u = len(h), len(edge)
     if not m:
-        return pd.DataFrame({k: np.zeros(0) for k in ("doc", "start", "chars", "tokens", "own", "fw", "recur", "echo", "short", "link", "marks")})
+        return pd.DataFrame({k: np.zeros(0) for k in ("doc", "start", "chars", "tokens", "own", "fw", "content", "close", "echo", "short", "link", "marks", "word")})
     at = base[doc] + st
     unit = np.searchsorted(edge, at, "right") - 1
     fw = np.isin(h, _function_hashes()) & ~own

@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -104,6 +105,12 @@ def distance(a: str, b: str, most: int) -> int:
     return min(d[-1][-1], most + 1)
 
 
+def letters_apart(a: str, b: str) -> int:
+    """Letters that one of a and b has more of, at most: no less than this many edits are needed in any order of words."""
+    x, y = Counter(a), Counter(b)
+    return max((x - y).total(), (y - x).total())
+
+
 def _orders(text: str) -> list[str]:
     """The text, and for a few words their rotations, squashed: 'mapping, geospatial' is geospatial mapping."""
     words = [w for w in re.split(r"[\s,/_-]+", text) if w]
@@ -170,13 +177,19 @@ def map_values(values: DataFrame, entries: DataFrame, settings: Settings = Setti
         for k, n in zip(key, name_id, strict=True):
             name = squashed(n.split("\x01", 1)[1])
             most = 0 if len(name) <= s.exact_up_to else 1 if len(name) <= s.one_edit_up_to else s.edits
-            best = distance(squashed(k), name, most)
+            typed = squashed(k)
+            if typed != name and letters_apart(typed, name) > most:
+                out.append(None)
+                continue
+            best = distance(typed, name, most)
             if best > most:
                 best = min((distance(x, name, most) for x in _orders(k)[1:]), default=best)
             out.append(best if best <= most else None)
         return pd.Series(out, dtype="Int32")
 
-    good = full.select("key", "name_id", "similarity").withColumn("edits", edits("key", "name_id")).where("edits is not null")
+    # the edit distance costs far more than its few bytes tell AQE: keep all tasks
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    good = full.select("key", "name_id", "similarity").repartition(parts, "key", "name_id").withColumn("edits", edits("key", "name_id")).where("edits is not null")
     good = good.join(right.select("name_id", "entry_id"), "name_id")
     best = good.groupBy("key").agg(F.min(F.struct("edits", (-F.col("similarity")).alias("s"), "entry_id")).alias("b"))
     return keyed.join(best, "key", "left").select("value", F.col("b.entry_id").alias("entry_id"), (-F.col("b.s")).alias("similarity"), F.col("b.edits").alias("edits"))
