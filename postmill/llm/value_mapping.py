@@ -14,7 +14,9 @@ import html
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -171,25 +173,28 @@ def map_values(values: DataFrame, entries: DataFrame, settings: Settings = Setti
     common = F.size(F.array_intersect("toks", "toks_y"))
     full = full.withColumn("similarity", common / (F.size("toks") + F.size("toks_y") - common)).where(F.col("similarity") >= s.jaccard)
 
-    @F.pandas_udf("int")
-    def edits(key: pd.Series, name_id: pd.Series) -> pd.Series:
-        out = []
-        for k, n in zip(key, name_id, strict=True):
-            name = squashed(n.split("\x01", 1)[1])
-            most = 0 if len(name) <= s.exact_up_to else 1 if len(name) <= s.one_edit_up_to else s.edits
-            typed = squashed(k)
-            if typed != name and letters_apart(typed, name) > most:
-                out.append(None)
-                continue
-            best = distance(typed, name, most)
-            if best > most:
-                best = min((distance(x, name, most) for x in _orders(k)[1:]), default=best)
-            out.append(best if best <= most else None)
-        return pd.Series(out, dtype="Int32")
+    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        typed, name_of = lru_cache(4096)(_orders), lru_cache(4096)(lambda n: squashed(n.split("\x01", 1)[1]))
+        for pdf in frames:
+            out = []
+            for k, n in zip(pdf["key"], pdf["name_id"], strict=True):
+                name = name_of(n)
+                most = 0 if len(name) <= s.exact_up_to else 1 if len(name) <= s.one_edit_up_to else s.edits
+                forms = typed(k)
+                best = most + 1
+                if forms[0] == name:
+                    best = 0
+                elif most and letters_apart(forms[0], name) <= most:
+                    for x in forms:
+                        best = min(best, distance(x, name, most))
+                        if not best:
+                            break
+                out.append(best if best <= most else -1)
+            yield pdf.assign(edits=out)[lambda d: d["edits"] >= 0]
 
     # the edit distance costs far more than its few bytes tell AQE: keep all tasks
     parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    good = full.select("key", "name_id", "similarity").repartition(parts, "key", "name_id").withColumn("edits", edits("key", "name_id")).where("edits is not null")
+    good = full.select("key", "name_id", "similarity").repartition(parts, "key", "name_id").mapInPandas(near, "key string, name_id string, similarity double, edits int")
     good = good.join(right.select("name_id", "entry_id"), "name_id")
     best = good.groupBy("key").agg(F.min(F.struct("edits", (-F.col("similarity")).alias("s"), "entry_id")).alias("b"))
     return keyed.join(best, "key", "left").select("value", F.col("b.entry_id").alias("entry_id"), (-F.col("b.s")).alias("similarity"), F.col("b.edits").alias("edits"))
