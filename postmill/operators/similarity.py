@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions.text import company_key, shingle_hashes, title_key
 from postmill.operators.components import connected_components
-from postmill.sources.tables import shared_dir, stored
+from postmill.sources.tables import shared_dir, spread, stored
 
 SAME_TITLE, ANY_TITLE = 0.8, 0.95
 
@@ -19,7 +19,7 @@ def text_classes(posts: DataFrame) -> DataFrame:
     class id is the smallest job_id in it. Null companies and titles count as
     empty; rows with a null job_id are dropped; repeated rows count once.
     """
-    p = posts.where("job_id is not null").select("job_id", F.coalesce(company_key("company"), F.lit("")).alias("company_key"), F.coalesce(title_key("title"), F.lit("")).alias("title_key"), F.array_sort(shingle_hashes(F.col("raw_text"))).alias("toks"))
+    p = spread(posts.where("job_id is not null")).select("job_id", F.coalesce(company_key("company"), F.lit("")).alias("company_key"), F.coalesce(title_key("title"), F.lit("")).alias("title_key"), F.array_sort(shingle_hashes(F.col("raw_text"))).alias("toks"))
     p = p.withColumn("form", F.when(F.size("toks") > 0, F.xxhash64("toks").cast("string")).otherwise(F.concat(F.lit("t:"), "title_key"))).dropDuplicates(["job_id", "company_key", "title_key", "form"])
     ids = p.groupBy("company_key", "form").agg(F.min("job_id").alias("class_id"))
     return p.join(ids, ["company_key", "form"]).select("job_id", "company_key", "title_key", "class_id", "toks")

@@ -9,13 +9,13 @@ from postmill.functions import rules
 from postmill.plans.marts import _BEST, _CUR, best_extraction, current_postings
 from postmill.plans.texts import SQL as TEXT_SQL
 from postmill.plans.texts import lexicon_skills
-from postmill.sources.tables import table
+from postmill.sources.tables import shared_dir, stored, table
 
 
 def _gold_and_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(job_id, name, gold, found) of every skill that is in the rows kept or in the text, of postings with both."""
     ref = table(spark, sf_dir, "skill_reference").select("skill_id", F.lower("canonical_name").alias("name"))
-    found = lexicon_skills(spark, sf_dir).join(ref, "skill_id").select("job_id", "name").distinct()
+    found = stored(lexicon_skills(spark, sf_dir).join(ref, "skill_id").select("job_id", "name").distinct(), f"{shared_dir(spark)}/found")
     gold = table(spark, sf_dir, "posting_skills").where("job_id is not null and skill is not null").select("job_id", F.lower(F.trim("skill")).alias("name")).where("name <> ''").distinct()
     judged = gold.select("job_id").distinct().join(found.select("job_id").distinct(), "job_id", "left_semi")
     g, f = gold.join(judged, "job_id", "left_semi").withColumn("gold", F.lit(1)), found.join(judged, "job_id", "left_semi").withColumn("found", F.lit(1))

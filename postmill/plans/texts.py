@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.functions import rules, text
-from postmill.sources.tables import table
+from postmill.sources.tables import spread, table
 
 EMAIL, PHONE = r"[\w.+-]+@[\w-]+\.[\w.-]+", r"\+66[0-9 -]{8,12}[0-9]"
 
@@ -100,7 +100,7 @@ def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of the reference list that a text names: its runs of one to four words are joined with the list on equal words."""
     words = lambda c: F.split(F.trim(F.regexp_replace(F.lower(c), "[^0-9a-z]+", " ")), " ")
-    p = table(spark, sf_dir, "job_postings").where("job_id is not null and raw_text is not null").select("job_id", words(F.col("raw_text")).alias("w"))
+    p = spread(table(spark, sf_dir, "job_postings").where("job_id is not null and raw_text is not null").select("job_id", "raw_text")).select("job_id", words(F.col("raw_text")).alias("w"))
     runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))))
     names = table(spark, sf_dir, "skill_reference").select("skill_id", F.array_join(words(F.col("canonical_name")), " ").alias("run")).where("length(run) > 2")
     return p.select("job_id", F.explode(F.array_distinct(runs)).alias("run")).join(names, "run").select("job_id", "skill_id").distinct()

@@ -34,3 +34,14 @@ def stored(df: DataFrame, path: str, partition_by: list[str] | None = None) -> D
     w = df.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, least: int = 4) -> DataFrame:
+    """`df` over all cores where its input is so small that Spark reads it in fewer than `least` tasks.
+
+    For steps that compute much on few bytes. Inputs of more splits, as any
+    large table has, pass unchanged and unshuffled.
+    """
+    if df.rdd.getNumPartitions() >= least:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
