@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.textarrays import clean, mix, shingles, tokens
 from postmill.operators.components import connected_components
-from postmill.sources.tables import shared_dir, stored
+from postmill.sources.tables import shared_dir, spread, stored
 
 PERMS = 24
 
@@ -138,7 +138,7 @@ class HistoryDedup:
 
         order = F.concat(F.coalesce(F.date_format("first_seen", "yyyy-MM-dd"), F.lit("9999-12-31")), F.lit(" "), F.col("job_id"))
         src = batch.where("job_id is not null and raw_text is not null").select(order.alias("ord"), "raw_text")
-        return src.mapInPandas(run, "ord string, tid long, keys array<int>, sk binary")
+        return spread(src).mapInPandas(run, "ord string, tid long, keys array<int>, sk binary")
 
     def _key_rows(self, texts: DataFrame) -> DataFrame:
         k = self.s.keys

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.textarrays import _INVISIBLE, _TAG, mix
+from postmill.sources.tables import spread
 
 LANGS = ("en", "th", "ja", "zh", "vi", "id", "de", "fr")
 
@@ -239,7 +240,7 @@ def document_frequencies(texts: DataFrame, column: str, settings: Settings) -> t
         some = np.flatnonzero(df)
         yield pd.DataFrame({"g": some, "n": df[some]})
 
-    rows = texts.select(F.col(column).alias("t")).mapInPandas(count, "g int, n long").groupBy("g").agg(F.sum("n").alias("n")).toPandas()
+    rows = spread(texts.select(F.col(column).alias("t"))).mapInPandas(count, "g int, n long").groupBy("g").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros((1 << bits) + 1, np.int64)
     out[rows["g"].to_numpy()] = rows["n"].to_numpy()
     return out[:-1], int(out[-1])
@@ -369,4 +370,4 @@ def detect(texts: DataFrame, model: Model) -> DataFrame:
                 yield pd.DataFrame({"id": pdf["id"].to_numpy()[i], "passages": [[{"seg_no": j + 1, "lang": a, "confidence": b, "n_lines": c} for j, (a, b, c) in enumerate(p)] for p in found]})
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "text").mapInPandas(run, f"id {kind}, passages array<struct<seg_no:int,lang:string,confidence:double,n_lines:int>>")
+    return spread(texts.select("id", "text")).mapInPandas(run, f"id {kind}, passages array<struct<seg_no:int,lang:string,confidence:double,n_lines:int>>")

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.textarrays import _INVISIBLE, _R, tokens
+from postmill.sources.tables import spread
 
 # Function words of the languages written with spaces.
 FUNCTION_WORDS = """
@@ -219,4 +220,4 @@ def spam_scores(pages: DataFrame, id_column: str = "doc_id", text_column: str =
 
     kind = pages.schema[id_column].dataType.simpleString()
     src = pages.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return src.mapInPandas(run, f"id {kind}, spam_share double, n_units long, is_spam boolean").withColumnRenamed("id", id_column)
+    return spread(src).mapInPandas(run, f"id {kind}, spam_share double, n_units long, is_spam boolean").withColumnRenamed("id", id_column)

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postmill.sources.tables import spread
+
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 # Given names, family names (Latin letters), stems of Thai given names, their endings, Thai family names.
@@ -286,7 +288,7 @@ def candidates(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
             yield pd.DataFrame(out, columns=["id", "kind", "start_pos", "end_pos", "votes", "feats"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "text").mapInPandas(run, f"id {kind}, kind string, start_pos int, end_pos int, votes array<int>, feats array<int>")
+    return spread(texts.select("id", "text")).mapInPandas(run, f"id {kind}, kind string, start_pos int, end_pos int, votes array<int>, feats array<int>")
 
 
 # -- aggregation of votes -------------------------------------------------
@@ -418,4 +420,4 @@ def redact(texts: DataFrame, model: Classifier, settings: Settings = Settings())
             yield pd.DataFrame({"id": pdf["id"], "text": out, "n_found": count})
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "text").mapInPandas(run, f"id {kind}, text string, n_found int")
+    return spread(texts.select("id", "text")).mapInPandas(run, f"id {kind}, text string, n_found int")

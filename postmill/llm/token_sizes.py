@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postmill.sources.tables import spread
+
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 _ENCODERS: dict = {}
 
@@ -36,4 +38,4 @@ def token_sizes(pages: DataFrame, id_column: str = "doc_id", text_column: str =
 
     src = pages.where(F.col(text_column).isNotNull() & F.col(id_column).isNotNull()).select(id_column, *keep, F.col(text_column).alias("text_"))
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in (id_column, *keep)) + ", n_tokens long"
-    return src.mapInPandas(run, schema)
+    return spread(src).mapInPandas(run, schema)
