@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill.functions.text import html_to_text, redact, stable_id
+from postmill.sources.tables import exists
 
 #: Files named <source>__<token>.json; a list of jobs under "jobs", or a bare list.
 LISTED = (
@@ -23,7 +22,7 @@ BARE = (
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Rows of a JSON-lines file or folder. A missing path is an empty table; blank and broken lines are skipped; BOM and CRLF don't matter."""
-    if not os.path.exists(path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").option("lineSep", "\n").json(path)
 
@@ -72,9 +71,10 @@ def land(df: DataFrame, path: str, keys: list[str]) -> int:
     """Append only the rows whose keys are not there yet; the number of rows written. Landed rows are never changed."""
     spark = df.sparkSession
     new = df.dropDuplicates(keys)
-    if os.path.exists(path):
+    there = exists(spark, path)
+    before = spark.read.schema(df.schema).parquet(path).count() if there else 0
+    if there:
         new = new.join(spark.read.schema(df.schema).parquet(path).select(*keys), keys, "left_anti")
-    before = spark.read.schema(df.schema).parquet(path).count() if os.path.exists(path) else 0
     new.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path).count() - before
 

@@ -45,3 +45,9 @@ def spread(df: DataFrame, least: int = 4) -> DataFrame:
     if df.rdd.getNumPartitions() >= least:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at `path`, on whatever file system it names?"""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
