@@ -4,8 +4,11 @@ Multi-key sorted neighbourhoods over persisted runs. A text is reduced once to
 K sort keys (pairs of min-hashes over word or character shingles) and a short
 sketch. The key rows are kept as runs, split into ranges of the key; a batch
 is merged with the ranges its own keys fall into, sorted, and compared inside
-windows around its new rows only. What the sketches leave is verified on the
-whole texts. Runs are merged into one every few batches.
+windows around its new rows only. Groups of equal keys that outgrow a window
+(texts with the same boilerplate) are compared whole, their new rows with all
+others, in tiles of bounded size. What the sketches leave must pass a bound by
+bucket counts, which loses nothing, and is then verified on the whole texts.
+Runs are merged into one every few batches.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from postmill.operators.components import connected_components
 from postmill.sources.tables import shared_dir, spread, stored
 
 PERMS = 24
+#: Buckets of the counts that bound the overlap of two bags.
+BUCKETS = 256
 
 
 @dataclass(frozen=True)
@@ -32,7 +37,8 @@ class Settings:
     compared on each side. sketch_min: equal bytes of 24 that a candidate
     needs. word_shingle, char_shingle: tokens of a shingle in spaced and
     unspaced texts. agree: overlap of the token bags (2 * common / both) from
-    which texts are copies. compact_every: batches between compactions.
+    which texts are copies. compact_every: batches between compactions. tile:
+    rows on a side of a tile of an oversized group.
     """
 
     keys: int = 7
@@ -43,6 +49,7 @@ class Settings:
     char_shingle: int = 8
     agree: float = 0.83
     compact_every: int = 2
+    tile: int = 16384
 
 
 def bag(h: np.ndarray, doc: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -65,8 +72,25 @@ _MUL = (_SEEDS[:PERMS].astype(np.uint32) | np.uint32(1)).astype(np.uint32)
 _ADD = _SEEDS[PERMS:].astype(np.uint32)
 
 
-def signatures(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(text id, min-hashes [n, PERMS]); id 0 is a text without any token.
+def bucket_counts(units: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """[n, BUCKETS / 2 + 8] bytes: counts of each bag's units by bucket, two a byte and 15 at most; what exceeds 15 in all; the size."""
+    c = np.bincount(doc * BUCKETS + (units & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS)
+    low = np.minimum(c, 15).astype(np.uint8)
+    ends = np.stack([(c - low).sum(1), c.sum(1)], 1).astype(np.uint32)
+    return np.concatenate([low[:, ::2] | low[:, 1::2] << np.uint8(4), ends.view(np.uint8)], 1)
+
+
+def may_agree(x: np.ndarray, y: np.ndarray, agree: float) -> np.ndarray:
+    """False only where the bags with these bucket counts (rows of x and y) overlap less than `agree`."""
+    half = BUCKETS // 2
+    ends = [np.ascontiguousarray(z[:, half:]).view(np.uint32).astype(np.int64) for z in (x, y)]
+    p, q = x[:, :half], y[:, :half]
+    most = np.minimum(p & 15, q & 15).sum(1, dtype=np.int64) + np.minimum(p >> 4, q >> 4).sum(1, dtype=np.int64) + np.minimum(ends[0][:, 0], ends[1][:, 0])
+    return 2 * np.minimum(most, np.minimum(ends[0][:, 1], ends[1][:, 1])) >= agree * (ends[0][:, 1] + ends[1][:, 1])
+
+
+def signatures(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text id, min-hashes [n, PERMS], bucket counts); id 0 is a text without any token.
 
     The id is a sum over the bag of units: the same for any order of the same
     units, so copies that differ only in layout or order share it.
@@ -75,8 +99,9 @@ def signatures(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     h, doc, _, _, own = tokens(texts)
     tid, mh = np.zeros(n, np.uint64), np.full((n, PERMS), 0xFFFFFFFF, np.uint32)
     if not len(h):
-        return tid.astype(np.int64), mh
-    np.add.at(tid, doc, mix(bag(h, doc, own) + np.uint64(7)))
+        return tid.astype(np.int64), mh, np.zeros((n, BUCKETS // 2 + 8), np.uint8)
+    units = bag(h, doc, own)
+    np.add.at(tid, doc, mix(units + np.uint64(7)))
     count = np.bincount(doc, minlength=n)
     tid = np.where(count > 0, mix(tid + count.astype(np.uint64)) | np.uint64(1), np.uint64(0))
     by_char = np.bincount(doc, own, minlength=n) > 0.3 * count
@@ -91,7 +116,8 @@ def signatures(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
             v = x * _MUL[p] + _ADD[p]
             v ^= v >> np.uint32(15)
             mh[d[starts], p] = np.minimum.reduceat(v * np.uint32(0x85EBCA6B), starts)
-    return tid.astype(np.int64), mh
+    # The bits that `_verified` compares, so that equal units share a bucket there too.
+    return tid.astype(np.int64), mh, bucket_counts(units >> np.uint64(32), doc, n)
 
 
 def _pieces(pdf: pd.DataFrame, column: str, chars: int = 600_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
@@ -127,18 +153,18 @@ class HistoryDedup:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in frames:
                 for part, texts in _pieces(pdf, "raw_text"):
-                    tid, mh = signatures(texts, s)
+                    tid, mh, counts = signatures(texts, s)
                     ok = tid != 0
                     if ok.any():
                         keys = mh[:, : s.keys].view(np.int32)
                         yield pd.DataFrame({
                             "ord": part["ord"].to_numpy()[ok], "tid": tid[ok], "keys": list(keys[ok]),
-                            "sk": [r.tobytes() for r in (mh & 0xFF).astype(np.uint8)[ok]],
+                            "sk": [r.tobytes() for r in (mh & 0xFF).astype(np.uint8)[ok]], "counts": [r.tobytes() for r in counts[ok]],
                         })
 
         order = F.concat(F.coalesce(F.date_format("first_seen", "yyyy-MM-dd"), F.lit("9999-12-31")), F.lit(" "), F.col("job_id"))
         src = batch.where("job_id is not null and raw_text is not null").select(order.alias("ord"), "raw_text")
-        return spread(src).mapInPandas(run, "ord string, tid long, keys array<int>, sk binary")
+        return spread(src).mapInPandas(run, "ord string, tid long, keys array<int>, sk binary, counts binary")
 
     def _key_rows(self, texts: DataFrame) -> DataFrame:
         k = self.s.keys
@@ -192,6 +218,81 @@ class HistoryDedup:
         edges = out.where("border >= 0").groupBy("border").applyInPandas(meet, "a long, b long")
         return out.where("border < 0").select("a", "b").unionByName(edges).distinct()
 
+    def _oversized(self, rows: DataFrame) -> DataFrame:
+        """Candidate pairs (a, b) inside the groups of equal keys that a window can't cover: each new row with every other row.
+
+        The new and the old rows of a group are cut into slices by id, and each
+        pair of slices with new rows on one side is a tile of its own, so no
+        task holds more than two slices, however large the group.
+        """
+        least, tile, group = self.s.sketch_min, self.s.tile, ["kr", "k1", "k2"]
+
+        def compare(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            xt, yt, found = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), []
+            step = max(1, 1_000_000 // max(1, len(y)))
+            for i in range(0, len(x), step):
+                same = np.zeros((min(step, len(x) - i), len(y)), np.uint8)
+                for p in range(PERMS):
+                    same += xt[p, i : i + step, None] == yt[p]
+                a, b = np.nonzero(same >= least)
+                found.append((a + i, b))
+            return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (np.empty(0, int), np.empty(0, int))
+
+        def pairs_of(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+            tid, new, own = pdf["tid"].to_numpy(), pdf["new"].to_numpy(), pdf["own"].to_numpy()
+            kind, left, right = pdf["kind"].to_numpy(), pdf["x"].to_numpy(), pdf["y"].to_numpy()
+            sk = np.frombuffer(b"".join(pdf["sk"]), np.uint8).reshape(len(pdf), PERMS)
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for s, e in zip(bounds[:-1], bounds[1:], strict=True):
+                r = np.arange(s, e)
+                if kind[s] == 0:
+                    p, q = r[new[s:e]], r[~new[s:e]]
+                else:
+                    p, q = r[own[s:e] == left[s]], r[own[s:e] == right[s]]
+                i, j = compare(sk[p], sk[q])
+                if kind[s] == 1 and left[s] == right[s]:
+                    i, j = i[i < j], j[i < j]
+                u, v = tid[p[i]], tid[q[j]]
+                a.append(np.minimum(u, v))
+                b.append(np.maximum(u, v))
+            return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rest = None
+            for pdf in frames:
+                both = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+                k = both[[*group, "kind", "x", "y"]].to_numpy()
+                starts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(1)))) if len(k) else np.zeros(1, int)
+                if len(starts) > 1:
+                    yield pairs_of(both, starts)
+                rest = both.iloc[starts[-1] :].reset_index(drop=True)
+            if rest is not None and len(rest):
+                yield pairs_of(rest, np.array([0, len(rest)]))
+
+        sizes = rows.groupBy(*group).agg(F.count_if("new").alias("m"), F.count(F.lit(1)).alias("n")).where(f"n > {self.s.window + 1} and m > 0")
+        cut = sizes.select(*group, F.ceil(F.col("m") / tile).cast("int").alias("m"), F.ceil((F.col("n") - F.col("m")) / tile).cast("int").alias("o"))
+        own = F.pmod(F.xxhash64("tid"), F.when(F.col("new"), F.col("m")).otherwise(F.col("o"))).cast("int")
+        tiles = F.expr("""case when not new then transform(sequence(0, m - 1), i -> struct(0 as kind, i as x, own as y))
+            else concat(transform(sequence(0, m - 1), i -> struct(1 as kind, least(i, own) as x, greatest(i, own) as y)),
+                        transform(filter(sequence(0, o), i -> i < o), i -> struct(0 as kind, own as x, i as y))) end""")
+        tiled = rows.join(cut, group).withColumn("own", own).withColumn("t", F.explode(tiles)).select(*group, "t.kind", "t.x", "t.y", "own", "tid", "sk", "new")
+        key = [*group, "kind", "x", "y"]
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return tiled.repartition(parts, *key).sortWithinPartitions(*key).mapInPandas(run, "a long, b long")
+
+    def _bounded(self, pairs: DataFrame, counts: DataFrame) -> DataFrame:
+        """The pairs whose bucket counts leave it open that they agree."""
+        agree = self.s.agree
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                if len(pdf):
+                    x, y = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(len(pdf), -1) for c in ("x", "y"))
+                    yield pdf.loc[may_agree(x, y, agree), ["a", "b"]]
+
+        both = pairs.join(counts.select(F.col("tid").alias("a"), F.col("counts").alias("x")), "a").join(counts.select(F.col("tid").alias("b"), F.col("counts").alias("y")), "b")
+        return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+
     def _verified(self, pairs: DataFrame, batch_members: DataFrame, source: DataFrame) -> DataFrame:
         """The pairs whose whole texts agree."""
         agree = self.s.agree
@@ -256,7 +357,10 @@ class HistoryDedup:
                     for p in self.runs_at[1:]:
                         old = old.unionByName(spark.read.schema(schema).parquet(p))
                 sorted_rows = sorted_rows.unionByName(old.where(F.col("kr").isin(touched)).withColumn("new", F.lit(False)))
-            pairs = self._windows(sorted_rows.select("kr", "k1", "k2", "tid", "sk", "new"), f"{self.path}/windows/{i}")
+            sorted_rows = sorted_rows.select("kr", "k1", "k2", "tid", "sk", "new")
+            pairs = self._windows(sorted_rows, f"{self.path}/windows/{i}").unionByName(self._oversized(sorted_rows)).distinct()
+            counts = spark.read.schema("tid long, counts binary").parquet(*self.members_at, f"{self.path}/signed/{i}").dropDuplicates(["tid"])
+            pairs = stored(self._bounded(pairs, counts), f"{self.path}/candidates/{i}")
             links = stored(self._verified(pairs, mine, source), f"{self.path}/links/{i}")
             self.members_at.append(f"{self.path}/signed/{i}")
             self.runs_at.append(run_at)

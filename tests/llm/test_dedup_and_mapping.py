@@ -1,9 +1,12 @@
 import random
+from collections import Counter
 from datetime import date
 
+import numpy as np
 import pytest
 
-from postmill.llm.history_dedup import HistoryDedup, Settings, dedup_in_batches
+from postmill.llm.history_dedup import HistoryDedup, Settings, bucket_counts, dedup_in_batches, may_agree
+from postmill.llm.textarrays import mix
 from postmill.llm.value_mapping import distance, map_values, squashed, token_set, written
 
 POST = "job_id string, first_seen date, raw_text string, tid long"
@@ -51,6 +54,30 @@ def test_batches_bridge_classes_and_compact(spark):
     assert {tuple(r) for r in state.pairs().collect()} == {("b0", "b1"), ("b0", "b2")}
 
 
+def test_copies_inside_an_oversized_group_are_found(spark):
+    """600 texts share a long head, so most of their keys are equal; each copy must still meet its own original."""
+    head = text(70, 160)
+    rows = [(f"g{i:03}", date(2026, 5, 4), " ".join(head + text(1000 + i, 90))) for i in range(600)]
+    copies = [(f"z{i:03}", date(2026, 8, 4), altered(head + text(1000 + i, 90), 8, i)) for i in range(0, 600, 10)]
+    df = spark.createDataFrame([(*r, 1) for r in rows + copies], POST)
+    want = {(f"g{i:03}", f"z{i:03}") for i in range(0, 600, 10)}
+    for s in (Settings(), Settings(tile=50)):
+        assert {tuple(r) for r in dedup_in_batches(df, settings=s).pairs().collect()} == want
+
+
+def test_bucket_counts_never_reject_an_agreeing_pair():
+    rng = np.random.default_rng(4)
+    for size in (1, 40, 3000):
+        a = rng.integers(0, max(2, size // 3), size).astype(np.uint64)
+        b = a.copy()
+        b[: size // 8] = rng.integers(10**6, 10**7, size // 8)
+        common = sum((Counter(a.tolist()) & Counter(b.tolist())).values())
+        c = bucket_counts(mix(np.concatenate([a, b])), np.repeat([0, 1], size), 2)
+        assert may_agree(c[:1], c[1:], common / size).all()
+        other = bucket_counts(mix(a + np.uint64(10**9)), np.zeros(size, int), 1)
+        assert size == 3000 or not may_agree(c[:1], other, 0.83).any()
+
+
 def test_empty_history(spark):
     assert dedup_in_batches(spark.createDataFrame([], POST)).pairs().count() == 0
 
