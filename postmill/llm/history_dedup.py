@@ -25,7 +25,7 @@ from postmill.llm.textarrays import clean, mix, shingles, tokens
 from postmill.operators.components import connected_components
 from postmill.sources.tables import shared_dir, spread, stored
 
-PERMS = 24
+PERMS = 32
 #: Buckets of the counts that bound the overlap of two bags.
 BUCKETS = 256
 
@@ -34,17 +34,17 @@ BUCKETS = 256
 class Settings:
     """keys: sort keys per text. ranges: key ranges (folders) of a key; more of
     them make a small batch read less of a large history. window: neighbours
-    compared on each side. sketch_min: equal bytes of 24 that a candidate
+    compared on each side. sketch_min: equal bytes of 32 that a candidate
     needs. word_shingle, char_shingle: tokens of a shingle in spaced and
     unspaced texts. agree: overlap of the token bags (2 * common / both) from
     which texts are copies. compact_every: batches between compactions. tile:
     rows on a side of a tile of an oversized group.
     """
 
-    keys: int = 7
+    keys: int = 8
     ranges: int = 4
     window: int = 8
-    sketch_min: int = 10
+    sketch_min: int = 11
     word_shingle: int = 3
     char_shingle: int = 8
     agree: float = 0.83

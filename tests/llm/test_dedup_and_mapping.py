@@ -5,7 +5,7 @@ from datetime import date
 import numpy as np
 import pytest
 
-from postmill.llm.history_dedup import HistoryDedup, Settings, bucket_counts, dedup_in_batches, may_agree
+from postmill.llm.history_dedup import HistoryDedup, Settings, bucket_counts, dedup_in_batches, may_agree, signatures
 from postmill.llm.textarrays import mix
 from postmill.llm.value_mapping import distance, map_values, squashed, token_set, written
 
@@ -78,6 +78,22 @@ def test_bucket_counts_never_reject_an_agreeing_pair():
         assert size == 3000 or not may_agree(c[:1], other, 0.83).any()
 
 
+def test_sketches_and_keys_keep_pairs_with_scattered_changes():
+    """Pairs that agree in 0.88: few may fall to the sketch, and few may be without an equal two-part key."""
+    s, r, one, two = Settings(), random.Random(6), [], []
+    for i in range(1500):
+        w = [f"w{r.randrange(10**6)}" for _ in range(200)]
+        v = list(w)
+        for k in r.sample(range(200), 24):
+            v[k] = f"x{r.randrange(10**6)}"
+        one.append(" ".join(w))
+        two.append(" ".join(v))
+    a, b = signatures(one, s)[1], signatures(two, s)[1]
+    assert ((((a ^ b) & 0xFF) == 0).sum(1) < s.sketch_min).mean() < 0.04
+    same = (a == b)[:, : s.keys]
+    assert (~(same & np.roll(same, -1, axis=1)).any(1)).mean() < 0.19
+
+
 def test_empty_history(spark):
     assert dedup_in_batches(spark.createDataFrame([], POST)).pairs().count() == 0
 
