@@ -49,10 +49,10 @@ def title_level(title: Column) -> Column:
 
 def level(title: Column, text: Column) -> Column:
     """The level of the title; where it has none, of the most years (under 30) that stand within 100 characters of 'experience'."""
-    near = rf"(?is)(?:experience.{{0,100}}?{YEARS}|{YEARS}.{{0,100}}?experience)"
-    first = F.regexp_extract_all(text, F.lit(near), F.lit(1))
-    second = F.regexp_extract_all(text, F.lit(near), F.lit(2))
-    years = F.filter(F.transform(F.concat(first, second), lambda x: x.try_cast("int")), lambda y: y < 30)
+    # Only the number is consumed, so one 'experience' serves all years around it.
+    before = F.regexp_extract_all(text, F.lit(rf"(?is)(?<=experience.{{0,100}}){YEARS}"), F.lit(1))
+    after = F.regexp_extract_all(text, F.lit(rf"(?is){YEARS}(?=.{{0,100}}?experience)"), F.lit(1))
+    years = F.filter(F.transform(F.concat(before, after), lambda x: x.try_cast("int")), lambda y: y < 30)
     most = F.array_max(years)
     by_years = F.when(most < 2, "junior").when(most < 5, "mid").when(most.isNotNull(), "senior").otherwise("unknown")
     named = title_level(title)

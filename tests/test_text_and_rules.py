@@ -67,6 +67,17 @@ def test_role_families_and_levels(spark):
     assert lev("Data Analyst", "Company founded 15 years ago.") == "unknown"
 
 
+def test_one_experience_serves_all_years_around_it(spark):
+    def lev(body):
+        return spark.createDataFrame([("Data Analyst", body)], "t string, b string").select(rules.level(F.col("t"), F.col("b")).alias("x")).first()["x"]
+
+    assert lev("2 years of experience in SQL and 6 years in sales") == "senior"
+    assert lev("experience: 1 year of SQL, 3 years of R, 7 years in all") == "senior"
+    assert lev("1 year in sales, 4 years of experience") == "mid"
+    assert lev("2 years of experience. " + "x" * 120 + " 6 years") == "mid"
+    assert lev("2 years of experience, founded 40 years ago") == "mid" and lev("experience. " + "x" * 120 + " 6 years") == "unknown"
+
+
 def test_places(spark):
     def first(loc, more=None, code=None):
         return spark.createDataFrame([(loc, more, code)], "l string, m string, c string").select(rules.home_first(F.col("l"), F.col("m"), F.col("c")).alias("x")).first()["x"]
