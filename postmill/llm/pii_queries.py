@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm.pii import candidates, decide, redact, train
-from postmill.sources.tables import shared_dir, stored, table
+from postmill.llm.pii import decide, redact, train, voted_candidates
+from postmill.sources.tables import table
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,14 +15,14 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = stored(candidates(_texts(spark, sf_dir)), f"{shared_dir(spark)}/candidates")
+    found, _ = voted_candidates(_texts(spark, sf_dir))
     return decide(found, train(found)).select(F.col("id").alias("job_id"), "kind", "start_pos").distinct()
 
 
 def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _texts(spark, sf_dir)
-    found = stored(candidates(texts), f"{shared_dir(spark)}/candidates")
-    return redact(texts, train(found)).select(F.col("id").alias("job_id"), "text", "n_found").distinct()
+    found, lexicon = voted_candidates(texts)
+    return redact(texts, train(found), lexicon).select(F.col("id").alias("job_id"), "text", "n_found").distinct()
 
 
 QUERIES = {"p3_found": p3_found, "p3_redacted": p3_redacted}
