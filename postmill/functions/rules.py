@@ -27,7 +27,15 @@ LEVEL_RULES = (
 )
 # Places of one country, as they occur in locations.
 HOME_PLACES = r"thailand|bangkok|\bbkk\b|chiang mai|phuket|pattaya|chonburi|rayong|nonthaburi|samut prakan|กรุงเทพ|ไทย"
-YEARS = r"(\d{1,2})\s*(?:\+|-\s*\d+\+?)?\s*(?:\+\s*)?years?"
+# Names that are also plain words: counted with a capital only; never counted by themselves.
+CAPITAL_ONLY = "swift react node ruby spark hive"
+NEVER_ALONE = "c agents lambda algorithms spring regression rest api experimentation spreadsheets"
+#: Names of at most so many characters must be written exactly.
+EXACT_UP_TO = 2
+#: A number of years, also as a span ("3-5 years") or with a plus.
+YEARS = r"(\d{1,2})(?:\s*\+|\s*-\s*\d+\+?)?\s*\+?\s*years?"
+#: The word must lie within 100 characters of the number, with all of its own.
+NEAR = 100 - len("experience")
 
 
 def first_match(c: Column, rules: tuple[tuple[str, str], ...], default: str) -> Column:
@@ -50,8 +58,8 @@ def title_level(title: Column) -> Column:
 def level(title: Column, text: Column) -> Column:
     """The level of the title; where it has none, of the most years (under 30) that stand within 100 characters of 'experience'."""
     # Only the number is consumed, so one 'experience' serves all years around it.
-    before = F.regexp_extract_all(text, F.lit(rf"(?is)(?<=experience.{{0,100}}){YEARS}"), F.lit(1))
-    after = F.regexp_extract_all(text, F.lit(rf"(?is){YEARS}(?=.{{0,100}}?experience)"), F.lit(1))
+    before = F.regexp_extract_all(text, F.lit(rf"(?is)(?<=experience.{{0,{NEAR}}}){YEARS}"), F.lit(1))
+    after = F.regexp_extract_all(text, F.lit(rf"(?is){YEARS}(?=.{{0,{NEAR}}}?experience)"), F.lit(1))
     years = F.filter(F.transform(F.concat(before, after), lambda x: x.try_cast("int")), lambda y: y < 30)
     most = F.array_max(years)
     by_years = F.when(most < 2, "junior").when(most < 5, "mid").when(most.isNotNull(), "senior").otherwise("unknown")

@@ -38,9 +38,9 @@ def latest_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, postings, postings at home and open ones of each snapshot; a count of 0 rows is null."""
+    """Rows with an id, postings, postings at home and open ones of each snapshot; where no row has an id the number of rows is null."""
     s = table(spark, sf_dir, "posting_snapshots").where("snapshot_no is not null")
-    rows = s.groupBy("snapshot_no").agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias("raw_total"))
+    rows = s.groupBy("snapshot_no").agg(F.nullif(F.count("job_id"), F.lit(0)).alias("raw_total"))
     held = latest_delivery(s, "snapshot_no", "job_id", "delivered_at", FIELDS)
     per = held.groupBy(F.col("n").alias("snapshot_no")).agg(F.count(F.lit(1)).alias("n_postings"), F.count_if("th_primary").alias("n_home"), F.count_if("is_open").alias("n_open"))
     return rows.join(per, "snapshot_no", "left")
@@ -115,7 +115,7 @@ _HELD = """held AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sna
 _BEST = """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY CASE WHEN extraction_method LIKE 'llm%' THEN 2 WHEN extraction_method = 'baseline-2' THEN 1 ELSE 0 END DESC, extraction_method DESC NULLS LAST,
  role_family DESC NULLS LAST, seniority DESC NULLS LAST) AS rn FROM posting_attributes WHERE job_id IS NOT NULL) WHERE rn = 1)"""
 _FAMILY = "CASE " + " ".join(f"WHEN regexp_matches(title, '{p}', 'i') THEN '{n}'" for n, p in rules.ROLE_RULES) + " ELSE 'Other tech' END"
-_FUNNEL = f"""WITH {_HELD}, r AS (SELECT snapshot_no, nullif(count(*), 0) AS raw_total FROM posting_snapshots WHERE snapshot_no IS NOT NULL GROUP BY 1),
+_FUNNEL = f"""WITH {_HELD}, r AS (SELECT snapshot_no, nullif(count(job_id), 0) AS raw_total FROM posting_snapshots WHERE snapshot_no IS NOT NULL GROUP BY 1),
 h AS (SELECT snapshot_no, count(*) AS n_postings, count(*) FILTER (WHERE th_primary) AS n_home, count(*) FILTER (WHERE is_open) AS n_open FROM held GROUP BY 1)
 SELECT r.snapshot_no, raw_total, n_postings, n_home, n_open FROM r LEFT JOIN h ON h.snapshot_no = r.snapshot_no"""
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postmill.plans.marts import _BEST, _CUR, best_extraction, current_postings
-from postmill.sources.tables import table
+from postmill.sources.tables import shared_dir, stored, table
 
 
 def filtered(spark: SparkSession, sf_dir: str, roles: tuple[str, ...] = ("Software Eng", "DA", "DS/ML", "Product"), home_only: bool | None = None, open_only: bool = False, method: str | None = None) -> DataFrame:
@@ -37,20 +37,31 @@ def panel_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _view_and_top(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(the filtered postings (job_id, role_family), their 15 top skills): both are computed once."""
+    base = shared_dir(spark)
+    v = stored(filtered(spark, sf_dir).select("job_id", "role_family"), f"{base}/view")
+    return v, stored(_top(_skills(spark, sf_dir), v), f"{base}/top")
+
+
 def top_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 15 skills of most postings with their share; a top-k report, ties by name."""
-    v = filtered(spark, sf_dir).select("job_id")
+    return _top(_skills(spark, sf_dir), filtered(spark, sf_dir).select("job_id"))
+
+
+def _top(skills: DataFrame, v: DataFrame) -> DataFrame:
+    v = v.select("job_id")
     total = v.agg(F.count(F.lit(1)).alias("n_all")).withColumn("one", F.lit(1))
-    n = _skills(spark, sf_dir).join(v, "job_id", "left_semi").groupBy("skill").agg(F.count(F.lit(1)).alias("n_postings")).withColumn("one", F.lit(1))
+    n = skills.join(v, "job_id", "left_semi").groupBy("skill").agg(F.count(F.lit(1)).alias("n_postings")).withColumn("one", F.lit(1))
     return n.join(total, "one").select("skill", "n_postings", (F.col("n_postings") / F.col("n_all")).alias("share")).orderBy(F.desc("n_postings"), "skill").limit(15)
 
 
 def share_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of each group's postings with each of the top skills, 0 where none: the frame is built from the group sizes."""
-    v = filtered(spark, sf_dir).select("job_id", "role_family")
-    top = top_skills(spark, sf_dir).select("skill").agg(F.collect_list("skill").alias("skills")).withColumn("one", F.lit(1))  # 15 names
+    v, first = _view_and_top(spark, sf_dir)
+    top = first.select("skill").agg(F.collect_list("skill").alias("skills")).withColumn("one", F.lit(1))  # 15 names
     frame = v.groupBy("role_family").agg(F.count(F.lit(1)).alias("n_group")).withColumn("one", F.lit(1)).join(top, "one").select("role_family", "n_group", F.explode("skills").alias("skill"))
-    n = _skills(spark, sf_dir).join(v, "job_id").groupBy("role_family", "skill").agg(F.count(F.lit(1)).alias("n"))
+    n = _skills(spark, sf_dir).join(first.select("skill"), "skill", "left_semi").join(v, "job_id").groupBy("role_family", "skill").agg(F.count(F.lit(1)).alias("n"))
     return frame.join(n, ["role_family", "skill"], "left").select("role_family", "skill", F.coalesce("n", F.lit(0)).alias("n_postings"), (F.coalesce("n", F.lit(0)) / F.col("n_group")).alias("share"), (F.col("n_group") < 10).alias("few"))
 
 
@@ -58,7 +69,7 @@ def weekly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active postings per week (Monday) and those naming one of the three top skills, 0 where none."""
     d = table(spark, sf_dir, "daily_active").where("job_id is not null and seen_date is not null").select(F.date_trunc("week", "seen_date").cast("date").alias("week"), "job_id").distinct()
     total = d.groupBy("week").agg(F.count(F.lit(1)).alias("n_active"))
-    top = top_skills(spark, sf_dir).orderBy(F.desc("n_postings"), "skill").limit(3).select("skill")
+    top = _view_and_top(spark, sf_dir)[1].orderBy(F.desc("n_postings"), "skill").limit(3).select("skill")
     names = top.agg(F.collect_list("skill").alias("skills")).withColumn("one", F.lit(1))
     n = d.join(_skills(spark, sf_dir).join(top, "skill", "left_semi"), "job_id").groupBy("week", "skill").agg(F.count(F.lit(1)).alias("n"))
     frame = total.withColumn("one", F.lit(1)).join(names, "one").select("week", "n_active", F.explode("skills").alias("skill"))
@@ -107,7 +118,7 @@ def props_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event types of each user and day in their order, as one string; a user's day is the largest group."""
+    """Event types of each user and day in their order, as one string. The whole path is the result, so the events of a user's day must fit in one row."""
     e = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("date").alias("day"), F.struct("ts", "event_id", "event_type").alias("x"))
     g = e.groupBy("user_id", "day").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     return g.select("user_id", "day", F.array_join(F.transform("xs", lambda x: x["event_type"]), ">").alias("path"))
@@ -116,8 +127,9 @@ def event_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def skill_set_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Skills that a company asks for in its open postings only, in its closed ones only, and in both."""
     c = current_postings(spark, sf_dir).where("company is not null and is_open is not null").select("job_id", "company", "is_open")
-    s = _skills(spark, sf_dir).join(c, "job_id").groupBy("company").agg(F.collect_set(F.when(F.col("is_open"), F.col("skill"))).alias("o"), F.collect_set(F.when(~F.col("is_open"), F.col("skill"))).alias("c"))
-    return s.select("company", F.size(F.array_except("o", "c")).cast("long").alias("n_new"), F.size(F.array_except("c", "o")).cast("long").alias("n_gone"), F.size(F.array_intersect("o", "c")).cast("long").alias("n_both"))
+    # one row a company and skill first, so that no company's skills meet in one row
+    s = _skills(spark, sf_dir).join(c, "job_id").groupBy("company", "skill").agg(F.max("is_open").alias("o"), F.min("is_open").alias("all_open"))
+    return s.groupBy("company").agg(F.count_if("all_open").alias("n_new"), F.count_if(F.expr("not o")).alias("n_gone"), F.count_if(F.expr("o and not all_open")).alias("n_both"))
 
 
 def order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:

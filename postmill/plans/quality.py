@@ -71,17 +71,28 @@ def label_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def discovery_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings of each company and source, those at home, and the first of its titles by name."""
+    """Postings of each company and source, those at home, and its first eight titles by name; the limit is the report's."""
     p = table(spark, sf_dir, "job_postings").where("job_id is not null and company is not null")
-    return p.groupBy("company", "source").agg(F.countDistinct("job_id").alias("n_postings"), F.countDistinct(F.when(F.col("th_primary"), F.col("job_id"))).alias("n_home"), F.min("title").alias("first_title"))
+    n = p.groupBy("company", "source").agg(F.countDistinct("job_id").alias("n_postings"), F.countDistinct(F.when(F.col("th_primary"), F.col("job_id"))).alias("n_home"))
+    place = F.row_number().over(Window.partitionBy("company", "source").orderBy("title"))
+    t = p.where("title is not null").select("company", "source", "title").distinct().withColumn("k", place).where("k <= 8")
+    t = t.groupBy("company", "source").agg(F.array_join(F.array_sort(F.collect_list("title")), " | ").alias("first_titles"))
+    return n.join(t.withColumnsRenamed({"company": "c", "source": "s"}), F.col("company").eqNullSafe(F.col("c")) & F.col("source").eqNullSafe(F.col("s")), "left").drop("c", "s")
 
 
 def stats_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics as rows, in one aggregation and an unpivot."""
+    """Metrics of the state of the data as rows: counts in one aggregation each, and the parts of families, companies and the gold sample."""
+    p = table(spark, sf_dir, "job_postings").where("job_id is not null")
     c = current_postings(spark, sf_dir)
-    a = c.agg(F.count(F.lit(1)).alias("postings"), F.count_if("th_primary").alias("home"), F.count_if("is_open").alias("open"), F.countDistinct("company").alias("companies"), F.count_if(F.col("location").isNull()).alias("without_place"))
-    names = ["postings", "home", "open", "companies", "without_place"]
-    return a.select(F.expr(f"stack({len(names)}, " + ", ".join(f"'{n}', {n}" for n in names) + ") as (metric, value)"))
+    a = c.agg(F.count(F.lit(1)).alias("postings"), F.count_if("th_primary").alias("home"), F.count_if("is_open").alias("open"), F.countDistinct("company").alias("companies"), F.count_if(F.col("location").isNull()).alias("without_place"), F.count_if(F.col("n_duplicates") > 0).alias("groups"), F.coalesce(F.sum("n_duplicates").cast("long"), F.lit(0)).alias("merged"), F.countDistinct("source").alias("sources"))
+    names = ["postings", "home", "open", "companies", "without_place", "groups", "merged", "sources"]
+    out = a.select(F.expr(f"stack({len(names)}, " + ", ".join(f"'{n}', {n}" for n in names) + ") as (metric, value)"))
+    thai = p.agg(F.countDistinct(F.when(F.col("raw_text").rlike("[฀-๿]"), F.col("job_id"))).alias("value")).select(F.lit("with_thai").alias("metric"), "value")
+    pay = table(spark, sf_dir, "posting_attributes").where("job_id is not null").agg(F.countDistinct(F.when(F.col("salary_stated"), F.col("job_id"))).alias("value")).select(F.lit("pay_stated").alias("metric"), "value")
+    part = lambda key, kind: c.groupBy(F.concat(F.lit(f"{kind}: "), key).alias("metric")).agg(F.count(F.lit(1)).alias("value")).where("metric is not null")
+    done = table(spark, sf_dir, "posting_attributes").where("extraction_method like 'llm%'").select("job_id").distinct()
+    gold = gold_sample(spark, sf_dir).join(done, "job_id", "left_semi").groupBy(F.concat(F.lit("gold done: "), "split").alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+    return out.unionByName(thai).unionByName(pay).unionByName(part(rules.role_family(F.col("title")), "family")).unionByName(part(F.col("company"), "company")).unionByName(gold)
 
 
 def late_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +119,14 @@ k AS (SELECT DISTINCT snapshot_no FROM s ORDER BY 1 DESC LIMIT 2), x AS (SELECT
 SELECT 'absent' AS rule, source, 0::bigint AS n_now, coalesce(n_prev, 0) AS n_prev FROM x WHERE n_now IS NULL UNION ALL SELECT 'fell', source, n_now, n_prev FROM x WHERE n_now < 0.5 * n_prev UNION ALL SELECT 'delivered', source, n_now, coalesce(n_prev, 0) FROM x WHERE n_now IS NOT NULL""",
     "gold_sample": "WITH p AS (SELECT job_id, md5(job_id || ':7') AS h FROM (SELECT DISTINCT job_id FROM job_postings WHERE job_id IS NOT NULL)), r AS (SELECT job_id, row_number() OVER (ORDER BY h) AS r FROM p) SELECT job_id, CASE WHEN r <= 30 THEN 'dev' ELSE 'test' END AS split FROM r WHERE r <= 80",
     "label_changes": "WITH x AS (SELECT DISTINCT * FROM posting_lang WHERE job_id IS NOT NULL AND declared_at IS NOT NULL), r AS (SELECT *, lag(declared_lang) OVER w AS prev, row_number() OVER w AS k, count(*) OVER (PARTITION BY job_id) AS n FROM x WINDOW w AS (PARTITION BY job_id ORDER BY declared_at, declared_lang NULLS FIRST)) SELECT job_id, declared_lang, n AS n_set, n > 1 AND declared_lang IS DISTINCT FROM prev AS changed FROM r WHERE k = n",
-    "discovery_counts": "SELECT company, source, count(DISTINCT job_id) AS n_postings, count(DISTINCT job_id) FILTER (WHERE th_primary) AS n_home, min(title) AS first_title FROM job_postings WHERE job_id IS NOT NULL AND company IS NOT NULL GROUP BY 1, 2",
-    "stats_metrics": f"WITH {_CUR}, a AS (SELECT count(*) AS postings, count(*) FILTER (WHERE th_primary) AS home, count(*) FILTER (WHERE is_open) AS open, count(DISTINCT company) AS companies, count(*) FILTER (WHERE location IS NULL) AS without_place FROM cur) " + " UNION ALL ".join(f"SELECT '{n}' AS metric, {n} AS value FROM a" for n in ("postings", "home", "open", "companies", "without_place")),
+    "discovery_counts": """WITH p AS (SELECT * FROM job_postings WHERE job_id IS NOT NULL AND company IS NOT NULL), n AS (SELECT company, source, count(DISTINCT job_id) AS n_postings, count(DISTINCT job_id) FILTER (WHERE th_primary) AS n_home FROM p GROUP BY 1, 2),
+t AS (SELECT company, source, string_agg(title, ' | ' ORDER BY title) AS first_titles FROM (SELECT company, source, title, row_number() OVER (PARTITION BY company, source ORDER BY title) AS k FROM (SELECT DISTINCT company, source, title FROM p WHERE title IS NOT NULL)) WHERE k <= 8 GROUP BY 1, 2)
+SELECT n.*, first_titles FROM n LEFT JOIN t ON t.company = n.company AND t.source IS NOT DISTINCT FROM n.source""",
+    "stats_metrics": f"WITH {_CUR}, a AS (SELECT count(*) AS postings, count(*) FILTER (WHERE th_primary) AS home, count(*) FILTER (WHERE is_open) AS open, count(DISTINCT company) AS companies, count(*) FILTER (WHERE location IS NULL) AS without_place, count(*) FILTER (WHERE n_duplicates > 0) AS groups, coalesce(sum(n_duplicates), 0)::bigint AS merged, count(DISTINCT source) AS sources FROM cur), "
+    + "p AS (SELECT job_id, md5(job_id || ':7') AS h FROM (SELECT DISTINCT job_id FROM job_postings WHERE job_id IS NOT NULL)), r AS (SELECT job_id, row_number() OVER (ORDER BY h) AS r FROM p) "
+    + " UNION ALL ".join(f"SELECT '{n}' AS metric, {n} AS value FROM a" for n in ("postings", "home", "open", "companies", "without_place", "groups", "merged", "sources"))
+    + " UNION ALL SELECT 'with_thai', count(DISTINCT job_id) FILTER (WHERE regexp_matches(raw_text, '[฀-๿]')) FROM job_postings WHERE job_id IS NOT NULL UNION ALL SELECT 'pay_stated', count(DISTINCT job_id) FILTER (WHERE salary_stated) FROM posting_attributes WHERE job_id IS NOT NULL"
+    + f" UNION ALL SELECT 'family: ' || {_FAMILY}, count(*) FROM cur GROUP BY 1 UNION ALL SELECT 'company: ' || company, count(*) FROM cur WHERE company IS NOT NULL GROUP BY 1"
+    + " UNION ALL SELECT 'gold done: ' || CASE WHEN r <= 30 THEN 'dev' ELSE 'test' END, count(*) FROM r WHERE r <= 80 AND job_id IN (SELECT job_id FROM posting_attributes WHERE extraction_method LIKE 'llm%' AND job_id IS NOT NULL) GROUP BY 1",
     "late_postings": "SELECT snapshot_no, max(delivered_at::date - snapshot_date)::int AS most_days, count(*) FILTER (WHERE delivered_at::date > snapshot_date) AS n_late, count(*) AS n_rows FROM posting_snapshots WHERE snapshot_no IS NOT NULL AND snapshot_date IS NOT NULL AND delivered_at IS NOT NULL GROUP BY 1",
 }

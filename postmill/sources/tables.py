@@ -14,19 +14,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that this process made for intermediate tables, by session.
+_MADE: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below `spark.checkpoint.dir`, which all executors share.
 
-    Where the setting is absent (tests on one machine) a folder of the
-    machine's temporary directory becomes the session's checkpoint directory.
+    Where the setting is absent, a local session (tests on one machine) takes a
+    folder of the machine's temporary directory, which then is its checkpoint
+    directory; on a cluster that is an error, as the executors would each write
+    to a disk of their own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-        if not base:
-            base = tempfile.mkdtemp(prefix="spark-")
-            spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"postmill-{uuid.uuid4().hex}")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(base)
+    at = os.path.join(base, f"postmill-{uuid.uuid4().hex}")
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(at)
+    return at
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this session, once no result that reads them is needed any more; the number of folders."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for at in made:
+        p = spark._jvm.org.apache.hadoop.fs.Path(at)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(made)
 
 
 def stored(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -51,3 +68,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Is there a file or folder at `path`, on whatever file system it names?"""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder `new` in the place of `path`: readers see the old tables or the new ones, never a mixture."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    old = f"{path}.old"
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(hadoop(old), True)
+    if fs.exists(hadoop(path)):
+        fs.rename(hadoop(path), hadoop(old))
+    fs.rename(hadoop(new), hadoop(path))
+    fs.delete(hadoop(old), True)

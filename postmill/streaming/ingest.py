@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.sources.tables import shared_dir
+from postmill.sources.tables import exists, shared_dir
 
 
 def ingest_available(source: DataFrame, out: str, checkpoint: str, keys: list[str]) -> None:
-    """Append the new rows of a streaming source to `out`, each key once; what was taken is kept in `checkpoint`.
+    """Append the new rows of a streaming source to `out`, each key once over all batches; what was taken is kept in `checkpoint`.
 
-    A batch that is run again after a failure writes to its own folder, so its rows are replaced and not doubled.
+    A batch that is run again after a failure writes to its own folder, so its
+    rows are replaced and not doubled. Of earlier batches only the keys are read.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates(keys).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        spark, new = batch.sparkSession, batch.dropDuplicates(keys)
+        if exists(spark, out):
+            old = spark.read.schema(batch.select(*keys).schema.add("batch", "integer")).parquet(out).where(F.col("batch") != number)
+            new = new.join(old.select(*keys), keys, "left_anti")
+        new.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
