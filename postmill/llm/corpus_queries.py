@@ -35,7 +35,7 @@ def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _mixed(spark, sf_dir)[1]
-    return s.select("source", "target_share", "max_repeats", "available_tokens", "drawn_tokens", F.round("actual_share", 5).alias("actual_share"), "n_pages", "n_copies", "limited")
+    return s.select("source", "target_share", "max_repeats", "available_tokens", "drawn_tokens", F.round("actual_share", 5).alias("actual_share"), "n_pages", F.round("due_copies", 3).alias("due_copies"), "n_copies", "limited")
 
 
 QUERIES = {"p6_containers": p6_containers, "p6_fill": p6_fill, "p7_mixture": p7_mixture, "p7_shares": p7_shares}

@@ -80,46 +80,58 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndar
     return p
 
 
-def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The undecided units set to 0 or 1 so that the token total is missed by least (at most 15 units: all roundings are tried).
-
-    Where one page outweighs its source the number of pages gives way: units
-    change sides, the best one first, as long as that brings the total nearer.
+def landing(p: np.ndarray, size: np.ndarray, due: float) -> np.ndarray:
+    """The undecided units (at most 15) set to 0 or 1: of all roundings whose number of pages is the due one rounded down or up, the one that misses the tokens least.
+
+    Both balancing equations hold as nearly as whole pages allow. Only where a
+    page is larger than all that is `due` of its source (tokens of the source's
+    sampled part) no rounding comes near; then pages in and out of the sample
+    change places one for one, the best pair first, while that brings the
+    tokens nearer: the number of pages stays, and the share is as near as that allows.
     """
-    goal = float((p * size).sum())
-    open_ = np.flatnonzero((p > 0) & (p < 1))[:15]
+    p = p.copy()
+    goal = float(p @ size)
+    open_ = np.flatnonzero((p > 0) & (p < 1))
+    if len(open_) > 15:
+        raise ValueError("the flight left more units than a landing takes")
     bits = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
     miss = np.abs(bits @ size[open_] - float((p[open_] * size[open_]).sum()))
-    p = p.copy()
+    miss = np.where(np.abs(bits.sum(1) - p[open_].sum()) < 1 - 1e-6, miss, np.inf)
     p[open_] = bits[int(np.argmin(miss))]
-    over = float((p * size).sum()) - goal
-    for _ in range(len(p)):
-        change = np.where(p == 1, -size, size)
-        i = int(np.argmin(np.abs(over + change)))
-        if abs(over + change[i]) >= abs(over):
+    while len(size) and size.max() > due:
+        over = float(p @ size) - goal
+        taken, left = np.flatnonzero(p == 1), np.flatnonzero(p == 0)
+        if not len(taken) or not len(left):
             break
-        over += float(change[i])
-        p[i] = 1 - p[i]
+        left = left[np.argsort(size[left], kind="stable")]
+        at = np.searchsorted(size[left], size[taken] - over)
+        pairs = np.stack([np.clip(at - 1, 0, len(left) - 1), np.clip(at, 0, len(left) - 1)], 1)
+        after = np.abs(over + size[left][pairs] - size[taken][:, None])
+        i, j = np.unravel_index(int(np.argmin(after)), after.shape)
+        if after[i, j] >= abs(over) - 1e-9:
+            break
+        p[taken[i]], p[left[pairs[i, j]]] = 0, 1
     return p
 
 
-def _flyer(s: Settings, level: int, last: bool):  # noqa: ANN202
+def _flyer(s: Settings, level: int, due: dict[str, float]):  # noqa: ANN202
     def fly(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", kind="stable").reset_index(drop=True)
-        rng = np.random.default_rng([s.seed, level, int(pdf["block"].iloc[0]), *pdf["source"].iloc[0].encode()])
+        source = pdf["source"].iloc[0]
+        rng = np.random.default_rng([s.seed, level, int(pdf["block"].iloc[0]), *source.encode()])
         size = pdf["n_tokens"].to_numpy(float)
         order = rng.permutation(len(pdf))
         p = np.empty(len(pdf))
         start = pdf["p"].to_numpy()
-        if not last:
+        if not pdf["last"].iloc[0]:
             p[order] = flight(start[order], size[order], rng)
-            return pdf.assign(p=p).drop(columns="block")
+            return pdf.assign(p=p).drop(columns=["block", "last"])
         # the last block of a source keeps a few units of various sizes for the landing
         kept = np.unique(np.argsort(size, kind="stable")[np.linspace(0, len(size) - 1, min(s.landing, len(size))).astype(int)])
         order = order[~np.isin(order, kept)]
         p[kept] = start[kept]
         p[order] = flight(start[order], size[order], rng) if len(order) else p[order]
-        return pdf.assign(p=landing(p, size)).drop(columns="block")
+        return pdf.assign(p=landing(p, size, due[source])).drop(columns=["block", "last"])
 
     return fly
 
@@ -132,15 +144,18 @@ def mix(pages: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     pages together where the caps allow it. Sources are compared without case
     and outer spaces. Pages of sources without a target, without a source or a
     size get no copy; targets without pages are reported with share 0. No
-    group is larger than a block: flights run per (source, block).
+    group is larger than about a block: flights run per (source, block). A
+    source's copies are its rate times its pages, rounded down or up (see
+    `landing`); due_copies and n_copies of the shares tell both.
     """
     s, spark = settings, pages.sparkSession
     base = shared_dir(spark)
     pages = pages.withColumn("source", F.lower(F.trim("source")))
     goal = {r["source"]: r for r in targets.withColumn("source", F.lower(F.trim("source"))).where("source is not null").collect()}
-    sums = pages.groupBy("source").agg(F.sum("n_tokens").alias("t"))
+    sums = stored(pages.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("n_tokens").alias("n")), f"{base}/sums")
     total = sums.agg(F.sum("t")).first()[0] or 0
-    have = {r["source"]: r["t"] or 0 for r in sums.where(F.col("source").isin(list(goal))).collect()}  # one row a target
+    found = sums.where(F.col("source").isin(list(goal))).collect()  # one row a target
+    have, pages_of = {r["source"]: r["t"] or 0 for r in found}, {r["source"]: r["n"] for r in found}
     rate = rates(have, {k: r["target_share"] or 0.0 for k, r in goal.items()}, {k: r["max_repeats"] or 0 for k, r in goal.items()}, total)
     whole = {k: int(np.floor(v + 1e-12)) for k, v in rate.items()}
     rest = {k: max(0.0, v - whole[k]) for k, v in rate.items()}
@@ -152,19 +167,21 @@ def mix(pages: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     schema = f"doc_id {kind}, source string, n_tokens long, p double"
     done: list[DataFrame] = []
     level = 0
+    due = {k: rest[k] * have[k] for k in some}
     while True:
         counts = {r[0]: r[1] for r in undecided.groupBy("source").count().collect()}
         if not counts:
             break
-        last = max(counts.values()) <= s.block
-        blocks = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, -(-n // s.block))])
-        block = F.pmod(F.xxhash64("doc_id", F.lit(level)), blocks[F.col("source")])
-
-        flown = stored(undecided.withColumn("block", block).groupBy("source", "block").applyInPandas(_flyer(s, level, last), schema), f"{base}/flight-{level}")
+        # each source lands when what is left of it is one block, whatever the others have left
+        blocks = {k: -(-n // s.block) for k, n in counts.items()}
+        block = F.pmod(F.xxhash64("doc_id", F.lit(level)), F.create_map(*[F.lit(x) for k, n in blocks.items() for x in (k, n)])[F.col("source")])
+        last = F.col("source").isin([k for k, n in blocks.items() if n == 1])
+        # a flight is work in Python on few bytes: as many tasks as blocks, which adaptive execution doesn't merge by their size
+        tasks = max(1, min(sum(blocks.values()), 4 * spark.sparkContext.defaultParallelism))
+        ready = undecided.withColumn("block", block).withColumn("last", last).repartition(tasks, "source", "block")
+        flown = stored(ready.groupBy("source", "block").applyInPandas(_flyer(s, level, due), schema), f"{base}/flight-{level}")
         done.append(flown.where("p = 0 or p = 1").select("doc_id", F.col("p").cast("int").alias("more")))
         undecided, level = flown.where("p > 0 and p < 1"), level + 1
-        if last:
-            break
     mixture = drawn
     if done:
         more = done[0]
@@ -174,8 +191,8 @@ def mix(pages: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     else:
         mixture = drawn.withColumn("more", F.lit(0))
     mixture = mixture.select("doc_id", "source", "n_tokens", (F.col("whole") + F.coalesce("more", F.lit(0))).cast("int").alias("copies")).where("copies > 0")
-    rows = [(k, float(r["target_share"] or 0), int(r["max_repeats"] or 0), int(have.get(k, 0)), float(rate[k])) for k, r in goal.items()]
-    plan = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, available_tokens long, rate double")
+    rows = [(k, float(r["target_share"] or 0), int(r["max_repeats"] or 0), int(have.get(k, 0)), float(rate[k]), float(rate[k] * pages_of.get(k, 0))) for k, r in goal.items()]
+    plan = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, available_tokens long, rate double, due_copies double")
     got = mixture.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("drawn_tokens"), F.count(F.lit(1)).alias("n_pages"), F.sum("copies").alias("n_copies"))
     shares = plan.join(got, "source", "left").na.fill(0, ["drawn_tokens", "n_pages", "n_copies"])
     reached = got.agg(F.sum("drawn_tokens").alias("all_tokens"))

@@ -2,7 +2,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from postmill.llm.mixing import flight, mix, rates
+from postmill.llm.mixing import flight, landing, mix, rates
 from postmill.llm.packing import Places, pack, plan
 from postmill.llm.packing import Settings as PackSettings
 from postmill.llm.token_sizes import encoder, token_sizes
@@ -65,6 +65,21 @@ def test_flight_keeps_the_totals():
     assert flight(np.array([]), np.array([]), rng).size == 0 and flight(np.array([0.5]), np.array([3.0]), rng).tolist() == [0.5]
 
 
+def test_landing_keeps_pages_and_tokens():
+    rng = np.random.default_rng(2)
+    for n in range(1, 13):
+        p, size = rng.random(n), np.ceil(rng.lognormal(5, 1, n))
+        q = landing(p, size, 1e9)
+        assert set(q) <= {0.0, 1.0} and abs(q.sum() - p.sum()) < 1
+        best = min(abs(b @ size - p @ size) for b in np.array(np.meshgrid(*[[0, 1]] * n)).T.reshape(-1, n) if abs(b.sum() - p.sum()) < 1)
+        assert abs(abs(q @ size - p @ size) - best) < 1e-9
+    # a page is more than all that is due: pages change places, their number stays
+    size = np.append(np.arange(10.0, 49.0), 900.0)
+    q = landing(np.append(np.tile([1.0, 0.0, 0.0], 13), 0.1), size, 100.0)
+    goal = np.append(np.tile([1.0, 0.0, 0.0], 13), 0.1) @ size
+    assert q.sum() == 13 and abs(q @ size - goal) < 1 and q[-1] == 0
+
+
 def test_rates():
     r = rates({"a": 100, "b": 50, "c": 10}, {"a": 0.5, "b": 0.3, "c": 0.2, "none": 0.1}, {"a": 3, "b": 2, "c": 1, "none": 5}, 160)
     assert r["c"] == 1 and r["none"] == 0 and abs(sum(r[k] * n for k, n in (("a", 100), ("b", 50), ("c", 10))) - 160) < 1e-6 and abs(r["a"] * 100 / (r["b"] * 50) - 5 / 3) < 1e-6
@@ -82,6 +97,12 @@ def test_mix(spark):
     assert s["absent"]["drawn_tokens"] == 0 and abs(s["a"]["actual_share"] - 4 / 9) < 0.002 and abs(s["b"]["actual_share"] - 5 / 9) < 0.002
     total = sum(p[2] or 0 for p in pages)
     assert abs(sum(r["n_tokens"] * r["copies"] for r in rows) / total - 1) < 0.002
+    assert all(abs(r["n_copies"] - r["due_copies"]) < 1 for r in s.values())
+    # sources of a single block land beside one of many blocks, both equations kept
+    many = [(i, f"s{i % 9}" if i < 450 else "big", int(rng.lognormal(6, 1.2)) + 1) for i in range(9500)]
+    wide = mix(spark.createDataFrame(many, "doc_id long, source string, n_tokens long"), spark.createDataFrame([*((f"s{k}", 0.02 + 0.002 * k, 3) for k in range(9)), ("big", 0.748, 1)], "source string, target_share double, max_repeats int"))[1].collect()
+    assert all(abs(r["n_copies"] - r["due_copies"]) < 1 for r in wide), wide
+    assert all(abs(r["drawn_tokens"] - r["rate"] * r["available_tokens"]) < 200 for r in wide), wide
     empty, none = mix(df.limit(0), targets)
     assert empty.count() == 0 and none.count() == 3
 
