@@ -1,23 +1,26 @@
 """Mapping freely typed values to the entries of a reference list.
 
 A set-similarity join with prefix filtering: every writing becomes a set of
-tokens (its letters and letter pairs, numbered when they repeat), tokens are
-ordered by their global rarity, and only the rarest ones of each set, enough
-that two similar sets must share one, are joined. Length and positional
-filters prune the pairs, Jaccard is verified on the whole sets, an edit
-distance confirms, and the best entry is kept.
+tokens (its letters and letter pairs, numbered when they repeat). The least
+similarity depends on the length of the reference name: it is the one that
+the edits allowed at this length can leave. Tokens are ordered by their rarity
+among the names, and only the rarest ones of each set, enough that two similar
+sets must share one, are joined, under length and positional filters. Jaccard
+is verified on the whole sets, an edit distance confirms, and the entry of the
+greatest similarity is kept.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,16 +36,33 @@ LEVEL = "basic|advanced|intermediate|beginner|expert|fluent|senior|junior|requir
 
 @dataclass(frozen=True)
 class Settings:
-    """jaccard: least similarity of the token sets. exact_up_to, one_edit_up_to,
-    edits: reference writings of at most so many characters must agree exactly,
-    or up to one edit; longer ones up to `edits` (a swap of neighbours is one).
+    """exact_up_to, one_edit_up_to, edits: reference names of at most so many
+    characters must agree exactly, or up to one edit; longer ones up to
+    `edits` (a swap of neighbours is one).
     """
 
-    jaccard: float = 0.42
     exact_up_to: int = 4
     one_edit_up_to: int = 6
     edits: int = 2
 
+    def edits_of(self, length: int) -> int:
+        return 0 if length <= self.exact_up_to else 1 if length <= self.one_edit_up_to else self.edits
+
+    def least(self, tokens: int) -> float:
+        """Jaccard that a name with so many tokens (2 * length + 1) keeps under all its edits: an edit takes and adds three tokens at most."""
+        gone = 3 * self.edits_of((tokens - 1) // 2)
+        return max(0.0, (tokens - gone) / (tokens + gone))
+
+    def prefix_of_name(self, tokens: int) -> int:
+        return tokens - math.ceil(self.least(tokens) * tokens - 1e-9) + 1 if tokens else 0
+
+    def prefix_of_value(self, tokens: int) -> int:
+        """Tokens of a value that have to be looked up, for the shortest name that it can be a writing of: an edit changes the length by one."""
+        if not tokens:
+            return 0
+        names = [n for n in range(max(3, tokens - 2 * self.edits), tokens + 2 * self.edits + 1) if abs(n - tokens) <= 2 * self.edits_of((n - 1) // 2)]
+        return max((tokens - math.ceil(self.least(n) * tokens - 1e-9) + 1 for n in names), default=0)
+
 
 _EDGE = re.compile(r"^[^\w.]+|[^\w#+]+$")
 _HEAD = re.compile(rf"^(?:{BEFORE})\s+")
@@ -113,10 +133,11 @@ def letters_apart(a: str, b: str) -> int:
     return max((x - y).total(), (y - x).total())
 
 
-def _orders(text: str) -> list[str]:
-    """The text, and for a few words their rotations, squashed: 'mapping, geospatial' is geospatial mapping."""
+def orders(text: str) -> list[str]:
+    """The text and the rotations of its words, squashed, each once: 'mapping, geospatial' is geospatial mapping."""
     words = [w for w in re.split(r"[\s,/_-]+", text) if w]
-    return [squashed(" ".join(words[k:] + words[:k])) for k in range(max(1, min(len(words), 4)))]
+    turned = [squashed(" ".join(words[k:] + words[:k])) for k in range(len(words))]
+    return [x for x in dict.fromkeys([squashed(text), *turned]) if x]
 
 
 @F.udf(T.StringType(), useArrow=True)
@@ -125,76 +146,72 @@ def _written(value):  # noqa: ANN001, ANN202
 
 
 @F.udf(T.ArrayType(T.StringType()), useArrow=True)
-def _tokens(text):  # noqa: ANN001, ANN202
-    return token_set(squashed(text))
+def _orders(text):  # noqa: ANN001, ANN202
+    return orders(text)
+
+
+@F.udf(T.ArrayType(T.StringType()), useArrow=True)
+def _tokens(form):  # noqa: ANN001, ANN202
+    return token_set(form)
+
+
+def _ordered(sets: DataFrame, rarity: DataFrame, key: str, prefix) -> DataFrame:  # noqa: ANN001
+    """(key, toks, kept): each token set as an array, tokens that no name has first, then from the rarest to the most common; and how many are looked up."""
+    t = sets.select(key, F.explode("toks").alias("token")).join(rarity, "token", "left")
+    t = t.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))), lambda x: x["token"]).alias("toks"))
 
+    @F.udf(T.IntegerType(), useArrow=True)
+    def kept(n):  # noqa: ANN001, ANN202
+        return prefix(n)
 
-def _ordered(sets: DataFrame, rarity: DataFrame, key: str) -> DataFrame:
-    """(key, toks): each token set as an array from the rarest to the most common token."""
-    t = sets.select(key, F.explode("toks").alias("token")).join(rarity, "token")
-    return t.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("toks"))
+    return t.withColumn("kept", kept(F.size("toks")))
 
 
 def map_values(values: DataFrame, entries: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(value, entry_id, similarity, edits) for each distinct non-null row of `values` (value).
 
     `entries` has (entry_id, name); an entry may have several names. entry_id is
-    null where no name is near enough. Ties go to fewer edits, then the
-    greater similarity, then the smaller id. Values that differ only in
-    fillers are joined once. Blank values and values without letters or digits
-    have no entry. No side is assumed small: the joins are equi-joins on
-    tokens and keys, which AQE broadcasts only below its size threshold.
+    null where no name is near enough. The entry of the greatest similarity is
+    kept, of equal ones the one of fewer edits, then of the smaller id. Values
+    that differ only in fillers are joined once. Blank values and values
+    without letters or digits have no entry. No side is assumed small: the
+    joins are equi-joins on tokens and keys, which adaptive execution
+    broadcasts only below its size threshold.
     """
     s, base = settings, shared_dir(values.sparkSession)
     keyed = stored(values.where("value is not null").distinct().withColumn("key", _written("value")), f"{base}/keyed")
-    left = stored(keyed.select("key").distinct().select("key", _tokens("key").alias("toks")), f"{base}/left")
-    right = entries.where("name is not null and entry_id is not null").select("entry_id", _written("name").alias("name")).distinct()
-    right = right.withColumn("name_id", F.concat_ws("\x01", F.col("entry_id").cast("string"), "name")).withColumn("toks", _tokens("name"))
+    forms = stored(keyed.select("key").distinct().select("key", F.explode(_orders("key")).alias("form")), f"{base}/forms")
+    left = forms.select("form").distinct().select("form", _tokens("form").alias("toks"))
+    right = entries.where("name is not null and entry_id is not null").select("entry_id", _orders(_written("name"))[0].alias("name")).where("name is not null").distinct()
     right = stored(right, f"{base}/right")
-    both = left.select(F.explode("toks").alias("token")).unionAll(right.select(F.explode("toks").alias("token")))
-    rarity = both.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-
-    def prefixed(sets: DataFrame, key: str, size: str, place: str) -> DataFrame:
-        kept = F.size("toks") - F.ceil(s.jaccard * F.size("toks")) + 1
-        pre = sets.select(key, F.size("toks").alias(size), F.posexplode(F.slice("toks", F.lit(1), kept.cast("int"))).alias(place, "token"))
-        return pre
-
-    rarity = stored(rarity, f"{base}/rarity")
-    lo, ro = stored(_ordered(left, rarity, "key"), f"{base}/left-ordered"), stored(_ordered(right, rarity, "name_id"), f"{base}/right-ordered")
-    pairs = prefixed(lo, "key", "nx", "px").join(prefixed(ro, "name_id", "ny", "py"), "token")
-    need = s.jaccard / (1 + s.jaccard) * (F.col("nx") + F.col("ny"))
-    pairs = pairs.where((F.col("ny") >= s.jaccard * F.col("nx")) & (F.col("nx") >= s.jaccard * F.col("ny")))
-    # the first shared token bounds the overlap by what is left of either set
-    pairs = pairs.groupBy("key", "name_id").agg(F.min_by(F.struct("px", "py", "nx", "ny"), "px").alias("p"), F.count(F.lit(1)).alias("shared"))
-    bound = 1 + F.least(F.col("p.nx") - F.col("p.px") - 1, F.col("p.ny") - F.col("p.py") - 1)
-    need = s.jaccard / (1 + s.jaccard) * (F.col("p.nx") + F.col("p.ny"))
-    pairs = pairs.where(bound >= need).select("key", "name_id")
-    full = pairs.join(lo, "key").join(ro.withColumnRenamed("toks", "toks_y"), "name_id")
+    names = stored(right.select("name").distinct().select("name", _tokens("name").alias("toks")), f"{base}/names")
+    rarity = stored(names.select(F.explode("toks").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")), f"{base}/rarity")
+    lo, ro = stored(_ordered(left, rarity, "form", s.prefix_of_value), f"{base}/left-ordered"), stored(_ordered(names, rarity, "name", s.prefix_of_name), f"{base}/right-ordered")
+
+    @F.udf(T.StructType([T.StructField("least", T.DoubleType()), T.StructField("edits", T.IntegerType())]), useArrow=True)
+    def demands(n):  # noqa: ANN001, ANN202
+        return {"least": s.least(n), "edits": s.edits_of((n - 1) // 2)}
+
+    looked = lambda o, key, size, place: o.select(key, F.size("toks").alias(size), F.posexplode(F.slice("toks", F.lit(1), F.col("kept"))).alias(place, "token"))
+    px = looked(lo, "form", "nx", "px")
+    py = looked(ro, "name", "ny", "py").withColumn("d", demands("ny")).select("name", "ny", "py", "token", "d.least", "d.edits")
+    near_in_length = F.abs(F.col("nx") - F.col("ny")) <= 2 * F.col("edits")
+    # this shared token and what is left of either set must be able to make up the overlap
+    enough = 1 + F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1) >= F.col("least") / (1 + F.col("least")) * (F.col("nx") + F.col("ny")) - 1e-9
+    pairs = px.join(py, "token").where(near_in_length).where(enough).select("form", "name", "least", "edits").distinct()
+    full = pairs.join(lo.select("form", "toks"), "form").join(ro.select("name", F.col("toks").alias("toks_y")), "name")
     common = F.size(F.array_intersect("toks", "toks_y"))
-    full = full.withColumn("similarity", common / (F.size("toks") + F.size("toks_y") - common)).where(F.col("similarity") >= s.jaccard)
+    full = full.withColumn("similarity", common / (F.size("toks") + F.size("toks_y") - common)).where(F.col("similarity") >= F.col("least") - 1e-9)
 
     def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        typed, name_of = lru_cache(4096)(_orders), lru_cache(4096)(lambda n: squashed(n.split("\x01", 1)[1]))
         for pdf in frames:
-            out = []
-            for k, n in zip(pdf["key"], pdf["name_id"], strict=True):
-                name = name_of(n)
-                most = 0 if len(name) <= s.exact_up_to else 1 if len(name) <= s.one_edit_up_to else s.edits
-                forms = typed(k)
-                best = most + 1
-                if forms[0] == name:
-                    best = 0
-                elif most and letters_apart(forms[0], name) <= most:
-                    for x in forms:
-                        best = min(best, distance(x, name, most))
-                        if not best:
-                            break
-                out.append(best if best <= most else -1)
-            yield pdf.assign(edits=out)[lambda d: d["edits"] >= 0]
+            most = pdf["edits"].to_numpy()
+            found = [distance(f, n, m) if m and letters_apart(f, n) <= m else 0 if f == n else m + 1 for f, n, m in zip(pdf["form"], pdf["name"], most.tolist(), strict=True)]
+            yield pdf.assign(edits=found)[np.array(found, int) <= most]
 
     # the edit distance costs far more than its few bytes tell AQE: keep all tasks
     parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    good = full.select("key", "name_id", "similarity").repartition(parts, "key", "name_id").mapInPandas(near, "key string, name_id string, similarity double, edits int")
-    good = good.join(right.select("name_id", "entry_id"), "name_id")
-    best = good.groupBy("key").agg(F.min(F.struct("edits", (-F.col("similarity")).alias("s"), "entry_id")).alias("b"))
+    good = full.select("form", "name", "similarity", "edits").repartition(parts, "form", "name").mapInPandas(near, "form string, name string, similarity double, edits int")
+    good = stored(good, f"{base}/good").join(right, "name").join(forms, "form")
+    best = good.groupBy("key").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "edits", "entry_id")).alias("b"))
     return keyed.join(best, "key", "left").select("value", F.col("b.entry_id").alias("entry_id"), (-F.col("b.s")).alias("similarity"), F.col("b.edits").alias("edits"))
