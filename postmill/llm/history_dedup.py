@@ -1,14 +1,17 @@
 """Deduplicating new batches against everything already accepted.
 
 Multi-key sorted neighbourhoods over persisted runs. A text is reduced once to
-K sort keys (pairs of min-hashes over word or character shingles) and a short
-sketch. The key rows are kept as runs, split into ranges of the key; a batch
-is merged with the ranges its own keys fall into, sorted, and compared inside
-windows around its new rows only. Groups of equal keys that outgrow a window
-(texts with the same boilerplate) are compared whole, their new rows with all
-others, in tiles of bounded size. What the sketches leave must pass a bound by
-bucket counts, which loses nothing, and is then verified on the whole texts.
-Runs are merged into one every few batches.
+K sort keys (pairs of min-hashes over word or character shingles), a short
+sketch and bucket counts. The key rows are kept as sorted runs, split into
+ranges of the key; the more rows a run has, the more ranges. A batch opens the
+ranges that its own keys fall into, merges them with its keys and takes along
+only rows whose first key part equals one of its own: what is shuffled, sorted
+and compared follows the batch. Windows around new records are compared by
+their sketches; groups of equal keys that outgrow a window (texts with the
+same boilerplate) are compared whole, their new rows with all others, in tiles
+of bounded size. What the sketches leave must pass a bound by bucket counts,
+which loses nothing, and is then verified on the whole texts. Runs of similar
+size are merged as they pile up.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.textarrays import clean, mix, shingles, tokens
 from postmill.operators.components import connected_components
+from postmill.operators.ranking import numbered
 from postmill.sources.tables import shared_dir, spread, stored
 
 PERMS = 32
@@ -32,24 +36,35 @@ BUCKETS = 256
 
 @dataclass(frozen=True)
 class Settings:
-    """keys: sort keys per text. ranges: key ranges (folders) of a key; more of
-    them make a small batch read less of a large history. window: neighbours
-    compared on each side. sketch_min: equal bytes of 32 that a candidate
-    needs. word_shingle, char_shingle: tokens of a shingle in spaced and
-    unspaced texts. agree: overlap of the token bags (2 * common / both) from
-    which texts are copies. compact_every: batches between compactions. tile:
-    rows on a side of a tile of an oversized group.
+    """keys: sort keys per text. range_rows: key rows of a range, about; a run
+    has as many ranges a key as that makes, so a small batch opens few rows of
+    a large history. window: neighbours compared on each side. sketch_min:
+    equal bytes of 32 that a candidate needs. word_shingle, char_shingle:
+    tokens of a shingle in spaced and unspaced texts. agree: overlap of the
+    token bags (2 * common / both) from which texts are copies. compact_every:
+    runs of similar size that are merged into one. tile: rows on a side of a
+    tile of an oversized group. block: sorted rows that a task compares.
     """
 
     keys: int = 8
-    ranges: int = 4
+    range_rows: int = 1_000_000
     window: int = 8
     sketch_min: int = 11
     word_shingle: int = 3
     char_shingle: int = 8
     agree: float = 0.83
-    compact_every: int = 2
+    compact_every: int = 4
     tile: int = 16384
+    block: int = 65536
+
+
+@dataclass
+class Run:
+    """Sorted key rows in `path`, one folder a range: kr = key * ranges + range; `rows` of them."""
+
+    path: str
+    ranges: int
+    rows: int
 
 
 def bag(h: np.ndarray, doc: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -140,11 +155,10 @@ class HistoryDedup:
 
     def __init__(self, spark: SparkSession, settings: Settings = Settings(), path: str | None = None) -> None:
         self.spark, self.s, self.path = spark, settings, path or shared_dir(spark)
-        self.batches = 0
+        self.batches = self.merges = 0
         self.members_at: list[str] = []
-        self.runs_at: list[str] = []
+        self.runs: list[Run] = []
         self.classes_at: list[str] = []
-        self.since_compaction = 0
 
     # -- pieces of a batch ------------------------------------------------
     def _signed(self, batch: DataFrame) -> DataFrame:
@@ -167,56 +181,72 @@ class HistoryDedup:
         return spread(src).mapInPandas(run, "ord string, tid long, keys array<int>, sk binary, counts binary")
 
     def _key_rows(self, texts: DataFrame) -> DataFrame:
+        """(j, s1, k1, k2, tid): the rows of each key; s1 is k1 spread evenly over 32 bits, in whose order the rows are kept."""
         k = self.s.keys
         row = F.array(*[F.struct(F.lit(j).alias("j"), F.col("keys")[j].alias("k1"), F.col("keys")[(j + 1) % k].alias("k2")) for j in range(k)])
-        kr = F.col("e.j") * self.s.ranges + F.pmod(F.xxhash64("e.k1"), F.lit(self.s.ranges)).cast("int")
-        return texts.select(F.explode(row).alias("e"), "tid", "sk").select(kr.alias("kr"), "e.k1", "e.k2", "tid", "sk")
-
-    def _windows(self, rows: DataFrame, at: str) -> DataFrame:
+        spread_key = F.pmod(F.xxhash64("e.k1"), F.lit(1 << 32))
+        return texts.select(F.explode(row).alias("e"), "tid").select("e.j", spread_key.alias("s1"), "e.k1", "e.k2", "tid")
+
+    @staticmethod
+    def _range(ranges: int):  # noqa: ANN205
+        """Column: the folder of a key row in a run of so many ranges a key; the ranges are equal parts of the spread key."""
+        return (F.col("j") * ranges + F.floor(F.col("s1") * ranges / (1 << 32))).cast("int")
+
+    def _write_run(self, rows: DataFrame, n: int, path: str) -> Run:
+        """A run of `rows`, sorted inside its ranges."""
+        ranges = max(1, round(n / (self.s.keys * self.s.range_rows)))
+        rows = rows.select("j", "s1", "k1", "k2", "tid", self._range(ranges).alias("kr"))
+        rows.repartition("kr").sortWithinPartitions("kr", "s1", "k2", "tid").write.mode("overwrite").partitionBy("kr").parquet(path)
+        return Run(path, ranges, n)
+
+    def _read_run(self, run: Run) -> DataFrame:
+        return self.spark.read.schema("j int, s1 long, k1 int, k2 int, tid long, kr int").parquet(run.path)
+
+    def _met(self, keys: DataFrame) -> DataFrame:
+        """(j, k1, k2, tid) of the rows of earlier runs whose first key part is one of `keys`; only the ranges that these fall into are opened."""
+        mine = keys.select("j", "s1", "k1").distinct()
+        found = None
+        for run in self.runs:
+            touched = [r[0] for r in mine.select(self._range(run.ranges).alias("kr")).distinct().collect()]  # at most keys * ranges
+            old = self._read_run(run).where(F.col("kr").isin(touched)).join(mine.select("j", "k1"), ["j", "k1"], "left_semi").select("j", "k1", "k2", "tid")
+            found = old if found is None else found.unionByName(old)
+        return found
+
+    def _windows(self, rows: DataFrame) -> DataFrame:
         """Candidate pairs (a, b) of texts, at least one of them new, inside windows of the sorted rows.
 
-        The sort is over ranges of (range, key, id), so rows of one hot key are
-        spread over tasks; the ends of neighbouring tasks meet in a second
-        step that holds 2 * window rows per border.
+        The rows are numbered in their order and cut into blocks, the last
+        `window` rows of a block going to the next one too: no pair is lost at
+        a border, and a key shared by very many texts lies in many blocks.
         """
-        w, least = self.s.window, self.s.sketch_min
+        w, least, block = self.s.window, self.s.sketch_min, max(self.s.block, 2 * self.s.window)
 
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
             if len(pdf) < 2:
                 return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-            kr, tid, new = pdf["kr"].to_numpy(), pdf["tid"].to_numpy(), pdf["new"].to_numpy()
+            j, part, tid, new = pdf["j"].to_numpy(), pdf["part"].to_numpy(), pdf["tid"].to_numpy(), pdf["new"].to_numpy()
             sk = np.frombuffer(b"".join(pdf["sk"]), np.uint8).reshape(len(pdf), PERMS)
             a, b = [], []
             for d in range(1, min(w, len(pdf) - 1) + 1):
-                i = np.flatnonzero((kr[d:] == kr[:-d]) & (new[d:] | new[:-d]) & (tid[d:] != tid[:-d]))
+                i = np.flatnonzero((j[d:] == j[:-d]) & (part[d:] == part[:-d]) & (new[d:] | new[:-d]) & (tid[d:] != tid[:-d]))
                 i = i[(sk[i] == sk[i + d]).sum(1) >= least]
                 a.append(np.minimum(tid[i], tid[i + d]))
                 b.append(np.maximum(tid[i], tid[i + d]))
             return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            from pyspark import TaskContext
-
-            pid, tail, first = TaskContext.get().partitionId(), None, True
+            tail = None
             for pdf in frames:
-                if first:
-                    yield pdf.head(w).assign(border=pid, a=0, b=0)
-                    first = False
                 both = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
-                yield compare(both).assign(border=-1, kr=0, k1=0, k2=0, tid=0, sk=b"", new=False)
+                yield compare(both)
                 tail = both.tail(w).reset_index(drop=True)
-            if tail is not None:
-                yield tail.assign(border=pid + 1, a=0, b=0)
 
-        def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-            return compare(pdf.sort_values(["kr", "k1", "k2", "tid"], kind="stable").reset_index(drop=True))
-
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        ordered = rows.repartitionByRange(parts, "kr", "k1", "k2", "tid").sortWithinPartitions("kr", "k1", "k2", "tid")
-        schema = "border int, kr int, k1 int, k2 int, tid long, sk binary, new boolean, a long, b long"
-        out = stored(ordered.mapInPandas(run, schema), at)
-        edges = out.where("border >= 0").groupBy("border").applyInPandas(meet, "a long, b long")
-        return out.where("border < 0").select("a", "b").unionByName(edges).distinct()
+        at = numbered(rows, [], ["j", "k1", "k2", "tid"], "at").withColumn("at", F.col("at") - 1)
+        own = F.floor(F.col("at") / block)
+        parts = F.when(F.pmod("at", F.lit(block)) >= block - w, F.array(own, own + 1)).otherwise(F.array(own))
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        cut = at.withColumn("part", F.explode(parts)).repartition(n, "part").sortWithinPartitions("part", "at")
+        return cut.select("j", "part", "tid", "new", "sk").mapInPandas(run, "a long, b long").distinct()
 
     def _oversized(self, rows: DataFrame) -> DataFrame:
         """Candidate pairs (a, b) inside the groups of equal keys that a window can't cover: each new row with every other row.
@@ -225,7 +255,7 @@ class HistoryDedup:
         pair of slices with new rows on one side is a tile of its own, so no
         task holds more than two slices, however large the group.
         """
-        least, tile, group = self.s.sketch_min, self.s.tile, ["kr", "k1", "k2"]
+        least, tile, group = self.s.sketch_min, self.s.tile, ["j", "k1", "k2"]
 
         def compare(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             xt, yt, found = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), []
@@ -280,8 +310,8 @@ class HistoryDedup:
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return tiled.repartition(parts, *key).sortWithinPartitions(*key).mapInPandas(run, "a long, b long")
 
-    def _bounded(self, pairs: DataFrame, counts: DataFrame) -> DataFrame:
-        """The pairs whose bucket counts leave it open that they agree."""
+    def _bounded(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose bucket counts leave it open that they agree; only the counts of texts in a pair are fetched."""
         agree = self.s.agree
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -290,10 +320,12 @@ class HistoryDedup:
                     x, y = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(len(pdf), -1) for c in ("x", "y"))
                     yield pdf.loc[may_agree(x, y, agree), ["a", "b"]]
 
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
+        counts = self._members("tid long, counts binary").join(ids, "tid", "left_semi").dropDuplicates(["tid"])
         both = pairs.join(counts.select(F.col("tid").alias("a"), F.col("counts").alias("x")), "a").join(counts.select(F.col("tid").alias("b"), F.col("counts").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
-    def _verified(self, pairs: DataFrame, batch_members: DataFrame, source: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame, source: DataFrame) -> DataFrame:
         """The pairs whose whole texts agree."""
         agree = self.s.agree
 
@@ -321,7 +353,7 @@ class HistoryDedup:
                 yield pdf.loc[ok, ["a", "b"]]
 
         ids = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-        first = self._all(self.members_at).unionByName(batch_members).join(ids, "tid", "left_semi").groupBy("tid").agg(F.min("ord").alias("ord"))
+        first = self._members().join(ids, "tid", "left_semi").groupBy("tid").agg(F.min("ord").alias("ord"))
         first = first.withColumn("job_id", F.expr("substring(ord, 12)"))
         texts = source.where("raw_text is not null").select("job_id", "raw_text").join(first.select("job_id", "tid"), "job_id").dropDuplicates(["tid"])
         u = texts.select("tid", "raw_text").mapInPandas(units, "tid long, u binary")
@@ -329,53 +361,42 @@ class HistoryDedup:
         both = pairs.join(u.select(F.col("tid").alias("a"), "u"), "a").join(u.select(F.col("tid").alias("b"), F.col("u").alias("v")), "b")
         return both.select("a", "b", "u", "v").mapInPandas(common, "a long, b long")
 
-    def _all(self, paths: list[str]) -> DataFrame:
-        schema = "ord string, tid long"
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+    def _members(self, schema: str = "ord string, tid long") -> DataFrame:
+        """Columns of the signed texts of all batches taken."""
+        return self.spark.read.schema(schema).parquet(*self.members_at) if self.members_at else self.spark.createDataFrame([], schema)
 
     # -- a batch ----------------------------------------------------------
     def accept(self, batch: DataFrame, source: DataFrame) -> None:
         """Take a batch. `source` has (job_id, raw_text) of the batch and all earlier ones, read only for verification."""
-        i, s, spark = self.batches, self.s, self.spark
+        i = self.batches
         signed = stored(self._signed(batch), f"{self.path}/signed/{i}")
-        mine = signed.select("ord", "tid")
-        fresh = signed.groupBy("tid").agg(F.min_by("keys", "ord").alias("keys"), F.min_by("sk", "ord").alias("sk"))
+        fresh = signed.groupBy("tid").agg(F.min_by("keys", "ord").alias("keys"))
         if self.members_at:
-            fresh = fresh.join(self._all(self.members_at).select("tid").distinct(), "tid", "left_anti")
-        schema = "k1 int, k2 int, tid long, sk binary, kr int"
-        run_at = f"{self.path}/runs/{i}"
-        rows = self._key_rows(fresh).select("k1", "k2", "tid", "sk", "kr").repartition("kr").sortWithinPartitions("kr", "k1", "k2", "tid")
-        run = stored(rows, run_at, ["kr"])
-        touched = [r[0] for r in run.select("kr").distinct().collect()]  # at most keys * ranges
-        if touched:
-            # The batch's ranges, not whole runs, are merged with the batch.
-            sorted_rows = run.withColumn("new", F.lit(True))
-            if self.runs_at:
-                old = spark.read.schema(schema).option("basePath", f"{self.path}/runs").parquet(*self.runs_at) if len(self.runs_at) == 1 else None
-                if old is None:
-                    old = spark.read.schema(schema).parquet(self.runs_at[0])
-                    for p in self.runs_at[1:]:
-                        old = old.unionByName(spark.read.schema(schema).parquet(p))
-                sorted_rows = sorted_rows.unionByName(old.where(F.col("kr").isin(touched)).withColumn("new", F.lit(False)))
-            sorted_rows = sorted_rows.select("kr", "k1", "k2", "tid", "sk", "new")
-            pairs = self._windows(sorted_rows, f"{self.path}/windows/{i}").unionByName(self._oversized(sorted_rows)).distinct()
-            counts = spark.read.schema("tid long, counts binary").parquet(*self.members_at, f"{self.path}/signed/{i}").dropDuplicates(["tid"])
-            pairs = stored(self._bounded(pairs, counts), f"{self.path}/candidates/{i}")
-            links = stored(self._verified(pairs, mine, source), f"{self.path}/links/{i}")
+            fresh = fresh.join(self._members("tid long"), "tid", "left_anti")
+        keys = stored(self._key_rows(fresh), f"{self.path}/keys/{i}")
+        n = keys.count()
+        if n or signed.limit(1).count():
             self.members_at.append(f"{self.path}/signed/{i}")
-            self.runs_at.append(run_at)
+        if n:
+            rows = keys.select("j", "k1", "k2", "tid").withColumn("new", F.lit(True))
+            if self.runs:
+                rows = rows.unionByName(self._met(keys).withColumn("new", F.lit(False)))
+            rows = stored(rows, f"{self.path}/met/{i}")
+            # the sketch of a text is kept once and fetched for the texts that were met
+            sketches = self._members("tid long, sk binary").join(rows.select("tid").distinct(), "tid", "left_semi").dropDuplicates(["tid"])
+            rows = stored(rows.join(sketches, "tid").select("j", "k1", "k2", "tid", "sk", "new"), f"{self.path}/sketched/{i}")
+            pairs = stored(self._windows(rows).unionByName(self._oversized(rows)).distinct(), f"{self.path}/pairs/{i}")
+            pairs = stored(self._bounded(pairs), f"{self.path}/candidates/{i}")
+            links = stored(self._verified(pairs, source), f"{self.path}/links/{i}")
             self._relabel(links)
-        elif i == 0 or mine.limit(1).count():
-            self.members_at.append(f"{self.path}/signed/{i}")
-        self.batches += 1
-        self.since_compaction += 1
-        if self.since_compaction >= s.compact_every and len(self.runs_at) > 1:
+            self.runs.append(self._write_run(keys, n, f"{self.path}/runs/{i}"))
             self._compact()
+        self.batches += 1
 
     def _relabel(self, links: DataFrame) -> None:
         """Classes of the linked texts: earlier classes that the links touch are merged into the earliest one."""
         texts = links.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-        first = self._all(self.members_at).join(texts, "tid", "left_semi").groupBy("tid").agg(F.min("ord").alias("ord"))
+        first = self._members().join(texts, "tid", "left_semi").groupBy("tid").agg(F.min("ord").alias("ord"))
         name = stored(first, f"{self.path}/names/{self.batches}")
         named = links.join(name.select(F.col("tid").alias("a"), F.col("ord").alias("src")), "a").join(name.select(F.col("tid").alias("b"), F.col("ord").alias("dst")), "b").select("src", "dst")
         if self.classes_at:
@@ -387,19 +408,26 @@ class HistoryDedup:
         self.classes_at.append(at)
 
     def _compact(self) -> None:
-        """Merge all runs into one sorted run."""
-        schema = "k1 int, k2 int, tid long, sk binary, kr int"
-        one = self.spark.read.schema(schema).parquet(self.runs_at[0])
-        for p in self.runs_at[1:]:
-            one = one.unionByName(self.spark.read.schema(schema).parquet(p))
-        at = f"{self.path}/runs/merged-{self.batches}"
-        stored(one.repartition("kr").sortWithinPartitions("kr", "k1", "k2", "tid"), at, ["kr"])
-        self.runs_at, self.since_compaction = [at], 0
+        """Merge the runs of a size (up to fourfold) once there are compact_every of them: a row is rewritten a logarithmic number of times."""
+        size = lambda r: r.rows.bit_length() // 2
+        while True:
+            tiers: dict[int, list[Run]] = {}
+            for r in self.runs:
+                tiers.setdefault(size(r), []).append(r)
+            full = next((t for _, t in sorted(tiers.items()) if len(t) >= self.s.compact_every), None)
+            if not full:
+                return
+            one = self._read_run(full[0])
+            for r in full[1:]:
+                one = one.unionByName(self._read_run(r))
+            self.merges += 1
+            merged = self._write_run(one, sum(r.rows for r in full), f"{self.path}/runs/merged-{self.merges}")
+            self.runs = [r for r in self.runs if r not in full] + [merged]
 
     # -- results ----------------------------------------------------------
     def members(self) -> DataFrame:
         """(job_id, first_seen order, text id, accepted): accepted is the job_id of the class's accepted posting."""
-        m = self._all(self.members_at).distinct()
+        m = self._members().distinct()
         head = m.groupBy("tid").agg(F.min("ord").alias("node"))
         if self.classes_at:
             known = self.spark.read.schema("node string, label string").parquet(*self.classes_at)
@@ -417,7 +445,7 @@ class HistoryDedup:
         return m.select(F.least("job_id", "accepted").alias("job_id_a"), F.greatest("job_id", "accepted").alias("job_id_b")).distinct()
 
 
-def dedup_in_batches(postings: DataFrame, batch_days: int = 48, settings: Settings = Settings(), start: str | None = None) -> HistoryDedup:
+def dedup_in_batches(postings: DataFrame, batch_days: int = 48, settings: Settings = Settings()) -> HistoryDedup:
     """`postings` (job_id, first_seen, raw_text) taken in batches of `batch_days` of first_seen; rows without a day come last."""
     state = HistoryDedup(postings.sparkSession, settings)
     lo, hi = postings.agg(F.min("first_seen"), F.max("first_seen")).first()

@@ -7,7 +7,8 @@ import pytest
 
 from postmill.llm.history_dedup import HistoryDedup, Settings, bucket_counts, dedup_in_batches, may_agree, signatures
 from postmill.llm.textarrays import mix
-from postmill.llm.value_mapping import distance, map_values, squashed, token_set, written
+from postmill.llm.value_mapping import Settings as MapSettings
+from postmill.llm.value_mapping import distance, map_values, orders, squashed, token_set, written
 
 POST = "job_id string, first_seen date, raw_text string, tid long"
 
@@ -46,11 +47,11 @@ def test_batches_bridge_classes_and_compact(spark):
     base = text(5, 200)
     near = [altered(base, 14, 0), altered(base, 14, 1), " ".join(base)]
     df = spark.createDataFrame([(f"b{i}", date(2026, 5, 1 + i), t, 1) for i, t in enumerate(near)], POST)
-    state = HistoryDedup(spark, Settings(compact_every=1))
+    state = HistoryDedup(spark, Settings(compact_every=2, range_rows=1))
     for i in range(3):
         state.accept(df.where(f"job_id = 'b{i}'"), df)
     state.accept(df.limit(0), df)
-    assert len(state.runs_at) == 1
+    assert [r.rows for r in state.runs] == [24] and state.merges == 2
     assert {tuple(r) for r in state.pairs().collect()} == {("b0", "b1"), ("b0", "b2")}
 
 
@@ -127,19 +128,42 @@ def test_mapping_against_brute_force(spark):
     assert set(got) == {v for v in values if v is not None}
     keyed = [(i + 1, squashed(written(n))) for i, n in enumerate(names)] + [(9, "sd")]
     for v in got:
-        k = written(v)
         best = None
         for i, n in keyed:
             most = 0 if len(n) <= 4 else 1 if len(n) <= 6 else 2
-            a, b = set(token_set(squashed(k))), set(token_set(n))
-            words = [w for w in k.replace(",", " ").split() if w]
-            d = min([distance(squashed(k), n, most)] + [distance(squashed(" ".join(words[j:] + words[:j])), n, most) for j in range(len(words[:4]))])
-            if d <= most and a and len(a & b) / len(a | b) >= 0.42:
-                c = (d, -len(a & b) / len(a | b), i)
-                best = c if best is None or c < best else best
+            b = set(token_set(n))
+            for form in orders(written(v)):
+                a = set(token_set(form))
+                d = distance(form, n, most)
+                if d <= most and a:
+                    c = (-len(a & b) / len(a | b), d, i)
+                    best = c if best is None or c < best else best
         assert got[v] == (best[2] if best else None), v
 
 
+def test_edits_leave_the_least_similarity():
+    s, rng = MapSettings(), random.Random(8)
+    for _ in range(4000):
+        name = "".join(rng.choice("abcdefg#1") for _ in range(rng.randrange(1, 26)))
+        w = list(name)
+        for _ in range(s.edits_of(len(name))):
+            i = rng.randrange(len(w))
+            w[i : i + 2] = rng.choice([w[i + 1 : i + 2] + w[i : i + 1], w[i + 1 : i + 2], [*w[i : i + 2], "q"], ["z", *w[i + 1 : i + 2]]])
+            if not w:
+                break
+        form = "".join(w)
+        if not form or distance(form, name, 2) > s.edits_of(len(name)):
+            continue
+        a, b = set(token_set(form)), set(token_set(name))
+        assert len(a & b) / len(a | b) >= s.least(len(b)) - 1e-9
+        # any order of the tokens: the looked-up parts of both meet
+        for order in (sorted, lambda t: sorted(t, key=lambda x: x[::-1])):
+            x, y = order(a), order(b)
+            rank = {t: k for k, t in enumerate(order(a | b))}
+            x, y = sorted(a, key=rank.get), sorted(b, key=rank.get)
+            assert set(x[: s.prefix_of_value(len(a))]) & set(y[: s.prefix_of_name(len(b))])
+
+
 def test_mapping_of_nothing(spark):
     e = spark.createDataFrame([(1, "Data Masking")], "entry_id int, name string")
     v = spark.createDataFrame([], "value string")
