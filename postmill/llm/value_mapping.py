@@ -38,12 +38,15 @@ LEVEL = "basic|advanced|intermediate|beginner|expert|fluent|senior|junior|requir
 class Settings:
     """exact_up_to, one_edit_up_to, edits: reference names of at most so many
     characters must agree exactly, or up to one edit; longer ones up to
-    `edits` (a swap of neighbours is one).
+    `edits` (a swap of neighbours is one). shared: tokens that a pair must have
+    in common among the looked-up ones, which are as many more; a name has
+    three tokens at least, and no pair can do with less in common.
     """
 
     exact_up_to: int = 4
     one_edit_up_to: int = 6
     edits: int = 2
+    shared: int = 3
 
     def edits_of(self, length: int) -> int:
         return 0 if length <= self.exact_up_to else 1 if length <= self.one_edit_up_to else self.edits
@@ -54,14 +57,14 @@ class Settings:
         return max(0.0, (tokens - gone) / (tokens + gone))
 
     def prefix_of_name(self, tokens: int) -> int:
-        return tokens - math.ceil(self.least(tokens) * tokens - 1e-9) + 1 if tokens else 0
+        return min(tokens, tokens - math.ceil(self.least(tokens) * tokens - 1e-9) + self.shared)
 
     def prefix_of_value(self, tokens: int) -> int:
         """Tokens of a value that have to be looked up, for the shortest name that it can be a writing of: an edit changes the length by one."""
         if not tokens:
             return 0
         names = [n for n in range(max(3, tokens - 2 * self.edits), tokens + 2 * self.edits + 1) if abs(n - tokens) <= 2 * self.edits_of((n - 1) // 2)]
-        return max((tokens - math.ceil(self.least(n) * tokens - 1e-9) + 1 for n in names), default=0)
+        return min(tokens, max((tokens - math.ceil(self.least(n) * tokens - 1e-9) + self.shared for n in names), default=0))
 
 
 _EDGE = re.compile(r"^[^\w.]+|[^\w#+]+$")
@@ -196,9 +199,10 @@ def map_values(values: DataFrame, entries: DataFrame, settings: Settings = Setti
     px = looked(lo, "form", "nx", "px")
     py = looked(ro, "name", "ny", "py").withColumn("d", demands("ny")).select("name", "ny", "py", "token", "d.least", "d.edits")
     near_in_length = F.abs(F.col("nx") - F.col("ny")) <= 2 * F.col("edits")
-    # this shared token and what is left of either set must be able to make up the overlap
+    met = px.join(py, "token").where(near_in_length).groupBy("form", "name").agg(*[F.first(c).alias(c) for c in ("nx", "ny", "least", "edits")], F.min("px").alias("px"), F.min("py").alias("py"), F.count(F.lit(1)).alias("k"))
+    # the first shared token and what is left of either set must be able to make up the overlap
     enough = 1 + F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1) >= F.col("least") / (1 + F.col("least")) * (F.col("nx") + F.col("ny")) - 1e-9
-    pairs = px.join(py, "token").where(near_in_length).where(enough).select("form", "name", "least", "edits").distinct()
+    pairs = met.where(F.col("k") >= s.shared).where(enough).select("form", "name", "least", "edits")
     full = pairs.join(lo.select("form", "toks"), "form").join(ro.select("name", F.col("toks").alias("toks_y")), "name")
     common = F.size(F.array_intersect("toks", "toks_y"))
     full = full.withColumn("similarity", common / (F.size("toks") + F.size("toks_y") - common)).where(F.col("similarity") >= F.col("least") - 1e-9)
