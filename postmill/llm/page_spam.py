@@ -37,7 +37,13 @@ le la les de des et à un une en vous nous pour est que qui dans par du au aux s
 
 @dataclass(frozen=True)
 class Settings:
-    """lags: longest lag of the autocorrelation, in terms. word_gap, char_gap:
+    """The thresholds lie between the values of prose and of stuffed text in
+    units of the given pages; tests hold them on text made otherwise.
+
+    lags, char_lags: longest lag of the autocorrelation, in terms of spaced
+    scripts and in characters of unspaced ones. char_echo, char_recur_low: mean
+    number of equal runs of characters within the lags from which a unit of an
+    unspaced script is stuffed, if at least that share recurs closely. word_gap, char_gap:
     gaps (in tokens) that count as a close recurrence, in spaced and unspaced
     scripts. recur, char_recur, char_recur_long: share of content terms in close
     recurrence from which a unit is stuffed (spaced; unspaced, under and from
@@ -52,6 +58,9 @@ class Settings:
     """
 
     lags: int = 24
+    char_lags: int = 48
+    char_echo: float = 1.2
+    char_recur_low: float = 0.3
     word_gap: int = 40
     char_gap: int = 150
     recur: float = 0.55
@@ -68,7 +77,7 @@ class Settings:
     flag: float = 0.5
 
 
-_LINK = re.compile(r"<a\s[^>]*>[^<]*</a>|\[[^\]\n]{0,80}\]\([^)\s]*\)|https?://\S+|(?:[\w-]+\.)+(?:example|test|invalid|com|net|org|io|co)\b/\S*|#[^\s#]{2,}")
+_LINK = re.compile(r"<a\s[^<>]*>[^<]*</a>|\[[^\[\]\n]*\]\([^)\s]*\)|https?://\S+|(?:[\w-]+\.)+(?:example|test|invalid|com|net|org|io|co)\b/\S*|#[^\s#]{2,}")
 _CUT = re.compile(r"\n|[.!?](?=\s)|[。！？]")
 _MARK = np.zeros(0x3000, bool)
 _MARK[[ord(c) for c in "•|/;,()-–!"]] = True
@@ -106,18 +115,18 @@ def unit_table(texts: list[str], s: Settings) -> pd.DataFrame:
     h, doc, st, ln, own = tokens(texts)
     m, u = len(h), len(edge)
     if not m:
-        return pd.DataFrame({k: np.zeros(0) for k in ("doc", "start", "chars", "tokens", "own", "fw", "content", "close", "echo", "short", "link", "marks", "word")})
+        return pd.DataFrame({k: np.zeros(0) for k in ("doc", "start", "chars", "tokens", "own", "fw", "content", "close", "echo", "short", "link", "marks", "word", "own_echo")})
     at = base[doc] + st
     unit = np.searchsorted(edge, at, "right") - 1
     fw = np.isin(h, _function_hashes()) & ~own
     term = h
+    inside = np.zeros(m, bool)
     if own.any():
         y = h.copy()
         for k in (1, 2, 3):
             nxt = np.zeros(m, np.uint64)
             nxt[: m - k] = h[k:]
             y = y * _R + nxt
-        inside = np.zeros(m, bool)
         inside[: max(m - 3, 0)] = own[: max(m - 3, 0)] & own[3:] & (doc[: max(m - 3, 0)] == doc[3:])
         term = np.where(inside, y, h)
     # gaps: distance to the nearest equal term of the page
@@ -144,6 +153,15 @@ def unit_table(texts: list[str], s: Settings) -> pd.DataFrame:
         if lag == s.short_lags:
             short = echo * (content & ~own)
     echo *= content & ~own
+    # the same for the runs of characters of unspaced scripts, over lags of as many characters as a phrase has
+    own_echo = np.zeros(m, np.float32)
+    at_own = np.flatnonzero(inside) if own.any() else np.zeros(0, np.int64)
+    if len(at_own):
+        k_own = key[at_own]
+        for lag in range(1, min(s.char_lags, len(at_own) - 1) + 1):
+            e = (k_own[lag:] == k_own[:-lag]) & (at_own[lag:] - at_own[:-lag] <= 2 * s.char_lags)
+            own_echo[at_own[lag:]] += e
+            own_echo[at_own[:-lag]] += e
     count = lambda x: np.bincount(unit, x, minlength=u)
     tok, con = np.bincount(unit, minlength=u), count(content)
     chars = count(ln)
@@ -154,20 +172,20 @@ def unit_table(texts: list[str], s: Settings) -> pd.DataFrame:
         L = np.array(links, np.int64)
         a, b = base[L[:, 0]] + L[:, 1], base[L[:, 0]] + L[:, 2]
         # characters of tokens inside links
-        inside = np.zeros(m + 1, np.int64)
-        np.add.at(inside, np.searchsorted(at, a), 1)
-        np.add.at(inside, np.searchsorted(at, b), -1)
-        link = count(ln * (np.cumsum(inside[:m]) > 0))
+        linked = np.zeros(m + 1, np.int64)
+        np.add.at(linked, np.searchsorted(at, a), 1)
+        np.add.at(linked, np.searchsorted(at, b), -1)
+        link = count(ln * (np.cumsum(linked[:m]) > 0))
     return pd.DataFrame({
         "doc": udoc, "start": ust, "chars": chars, "tokens": tok, "own": count(own) / np.maximum(tok, 1), "fw": count(fw), "content": con,
-        "close": count(close), "echo": count(echo), "short": count(short), "link": link, "marks": marks, "word": con - count(own),
+        "close": count(close), "echo": count(echo), "short": count(short), "link": link, "marks": marks, "word": con - count(own), "own_echo": count(own_echo),
     })[tok > 0]
 
 
 def judged(units: pd.DataFrame, s: Settings) -> pd.DataFrame:
     """`units` with spam (bool). Short units are judged with their neighbours of the same page."""
     d, k = units["doc"].to_numpy(), len(units)
-    cols = {c: units[c].to_numpy().astype(float) for c in ("tokens", "fw", "content", "close", "echo", "short", "word", "own", "marks", "chars")}
+    cols = {c: units[c].to_numpy().astype(float) for c in ("tokens", "fw", "content", "close", "echo", "short", "word", "own", "marks", "chars", "own_echo")}
     cols["own"] = cols["own"] * cols["tokens"]
     small = cols["tokens"] < 8
     wide = {c: v.copy() for c, v in cols.items()}
@@ -184,13 +202,14 @@ def judged(units: pd.DataFrame, s: Settings) -> pd.DataFrame:
     recur = wide["close"] / np.maximum(wide["content"], 1)
     echo = wide["echo"] / np.maximum(wide["word"], 1)
     short = wide["short"] / np.maximum(wide["word"], 1)
+    own_echo = wide["own_echo"] / np.maximum(wide["own"], 1)
     fw = wide["fw"] / np.maximum(wide["tokens"], 1)
     link = units["link"].to_numpy() / np.maximum(units["chars"].to_numpy(), 1)
     spaced = own < 0.5
     marked = (wide["marks"] * s.mark_chars >= wide["chars"]) & (recur >= s.marked_recur) & (wide["tokens"] >= 40)
-    stuffed = np.where(spaced, ((recur >= s.recur) & (echo >= s.echo * 0.6) | (echo >= s.echo) & (recur >= 0.4)) & ((fw < s.prose_function) | (short >= s.short_echo)), (recur >= np.where(wide["tokens"] < 120, s.char_recur, s.char_recur_long)) | marked)
+    stuffed = np.where(spaced, ((recur >= s.recur) & (echo >= s.echo * 0.6) | (echo >= s.echo) & (recur >= 0.4)) & ((fw < s.prose_function) | (short >= s.short_echo)), (recur >= np.where(wide["tokens"] < 120, s.char_recur, s.char_recur_long)) | (own_echo >= s.char_echo) & (recur >= s.char_recur_low) | marked)
     listed = spaced & (fw < s.list_function) & (wide["tokens"] >= s.list_least)
-    return units.assign(spam=(link >= 0.5) | stuffed | listed, recur=recur, echo_mean=echo, fw_share=fw)
+    return units.assign(spam=(link >= 0.5) | stuffed | listed, recur=recur, echo_mean=echo, fw_share=fw, own_echo_mean=own_echo, spaced=spaced, marked=marked)
 
 
 def spam_scores(pages: DataFrame, id_column: str = "doc_id", text_column: str = "text", settings: Settings = Settings()) -> DataFrame:
