@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.textarrays import _INVISIBLE, _TAG, mix
+from postmill.llm.textarrays import _INVISIBLE, _TAG, IDEOGRAPHS, LAST, mix
 from postmill.sources.tables import spread
 
 LANGS = ("en", "th", "ja", "zh", "vi", "id", "de", "fr")
@@ -94,8 +94,9 @@ def lines_of(text: str) -> list[str]:
 
 def _classes() -> np.ndarray:
     """Of each code point: 0 other, 1 lower-case or caseless letter, 2 capital, 3 letter of an unspaced script."""
-    c = np.zeros(0x10000, np.uint8)
-    for i in range(0x10000):
+    c = np.zeros(LAST + 1, np.uint8)
+    c[IDEOGRAPHS:LAST] = 3
+    for i in range(IDEOGRAPHS):
         ch = chr(i)
         if ch.isalpha() or unicodedata.category(ch).startswith("M"):
             c[i] = 2 if ch.isupper() or ch.istitle() else 1
@@ -111,11 +112,11 @@ def grams(lines: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         _CLASS = _classes()
     n = len(lines)
     joined = "\n".join(["", *lines, ""])
-    raw = np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), np.uint32(0xFFFF))
+    raw = np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), np.uint32(LAST))
     line = np.cumsum(raw == 10, dtype=np.int32) - 1
     cls = _CLASS[raw]
     low = np.frombuffer(joined.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    low = raw if len(low) != len(raw) else np.minimum(low, np.uint32(0xFFFF))
+    low = raw if len(low) != len(raw) else np.minimum(low, np.uint32(LAST))
     prev = np.concatenate(([0], cls[:-1]))
     words = np.bincount(line[(cls == 1) & (prev == 0)], minlength=n + 1)[:n]
     own = np.bincount(line[cls == 3], minlength=n + 1)[:n]
@@ -195,23 +196,44 @@ def fit_ftrl(model: Model, lines: list[str], y: np.ndarray, alpha: float, epochs
     model.weights = solved(z, n).astype(np.float32)
 
 
-def calibrate(model: Model, lines: list[str], y: np.ndarray) -> None:
-    """The temperature with the least log loss on held-out lines."""
+def calibrate(model: Model, lines: list[str], y: np.ndarray, text: np.ndarray) -> None:
+    """The temperature with the least log loss on held-out texts, none of them left out.
+
+    What is judged later are passages, so each text is one (its lines joined,
+    as `passages` does), and single lines count as passages of a line. Some
+    labels are wrong: the loss is that of a label that names the text's
+    language with probability 1 - e and any other one evenly with e, and e is
+    estimated with the temperature.
+    """
     model.temperature = 1.0
     if not len(lines):
         return
     s, norm, _, _ = model.scores(lines)
+    starts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+    s = np.concatenate([s, np.add.reduceat(s, starts, axis=0)])
+    norm = np.concatenate([norm, np.add.reduceat(norm, starts)])
+    y = np.concatenate([y, y[starts]])
     z = s / np.sqrt(np.maximum(norm, 1e-9))[:, None]
     best = None
     for t in np.geomspace(0.05, 10, 60):
         q = z / t
-        q = q - q.max(1, keepdims=True)
-        loss = float(np.mean(np.log(np.exp(q).sum(1)) - q[np.arange(len(y)), y]))
-        if best is None or loss < best[0]:
-            best = (loss, t)
+        q = np.exp(q - q.max(1, keepdims=True))
+        p = q[np.arange(len(y)), y] / q.sum(1)
+        for e in (0.003, 0.01, 0.03, 0.06, 0.1, 0.15, 0.2):
+            loss = float(-np.mean(np.log((1 - e) * p + e / len(LANGS))))
+            if best is None or loss < best[0]:
+                best = (loss, t)
     model.temperature = float(best[1])
 
 
+def calibration_error(confidence: np.ndarray, right: np.ndarray, bins: int = 10) -> float:
+    """Expected calibration error: the mean distance of confidence and accuracy over bins of equal width, by their sizes."""
+    k = np.minimum((confidence * bins).astype(int), bins - 1)
+    n = np.maximum(np.bincount(k, minlength=bins), 1)
+    gap = np.abs(np.bincount(k, confidence, minlength=bins) - np.bincount(k, right, minlength=bins)) / n
+    return float((gap * n).sum() / max(1, len(confidence)))
+
+
 def label_code(label):  # noqa: ANN001, ANN201
     """Column: two-letter code of a declared label in any spelling; null if it names none of the languages."""
     key = F.regexp_replace(F.lower(F.trim(label)), r"[\s.]+", "")
@@ -271,7 +293,7 @@ def train(texts: DataFrame, labels: DataFrame, settings: Settings = Settings())
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003
     picked = known.withColumn("place", place).where(F.col("place") < min(1.0, 1.2 * s.sample_rows / total)).select("id", "code", "place").orderBy("place", "id").limit(s.sample_rows)
     rows = texts.join(F.broadcast(picked), "id").dropDuplicates(["id"]).orderBy("place", "id").collect()
-    lines, y, held_lines, held_y = [], [], [], []
+    lines, y, held_lines, held_y, held_text = [], [], [], [], []
     for k, r in enumerate(rows):
         if not isinstance(r["text"], str):
             continue
@@ -280,6 +302,8 @@ def train(texts: DataFrame, labels: DataFrame, settings: Settings = Settings())
             if sum(c.islower() for c in ln) >= 12 or any(ord(c) > 0xE00 for c in ln):
                 (held_lines if held else lines).append(ln)
                 (held_y if held else y).append(code)
+                if held:
+                    held_text.append(k)
                 if not held and r["code"] in ("vi", "fr", "de"):
                     lines.append(_plain(ln))
                     y.append(code)
@@ -291,11 +315,7 @@ def train(texts: DataFrame, labels: DataFrame, settings: Settings = Settings())
         p = model.probabilities(*model.scores(lines)[:2])
         sure = p.argmax(1) == labels_y
         fit_ftrl(model, [x for x, ok in zip(lines, sure, strict=True) if ok], labels_y[sure], s.alpha if last else s.clean_alpha, s.epochs if last else 1)
-    if held_lines:
-        hy = np.array(held_y)
-        p = model.probabilities(*model.scores(held_lines)[:2])
-        near = p[np.arange(len(hy)), hy] >= 0.2 * p.max(1)
-        calibrate(model, [x for x, ok in zip(held_lines, near, strict=True) if ok], hy[near])
+    calibrate(model, held_lines, np.array(held_y, int), np.array(held_text, int))
     return model
 
 

@@ -14,10 +14,12 @@ import unicodedata
 
 import numpy as np
 
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>")
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 #: Characters of scripts written without spaces; each counts as a token.
 _UNSPACED = ((0x0E00, 0x0E7F), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7AF))
+#: Planes 2 and 3 hold ideographs only; no character beyond them is written text.
+IDEOGRAPHS, LAST = 0x20000, 0x3FFFF
 _R = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -43,9 +45,10 @@ def clean(text: str | None) -> str:
 
 
 def _kinds() -> np.ndarray:
-    """For each code point of the first plane: 0 none, 1 part of a word, 2 a token of its own."""
-    kind = np.zeros(0x10000, np.uint8)
-    for c in range(0x10000):
+    """For each code point of the first four planes: 0 none, 1 part of a word, 2 a token of its own."""
+    kind = np.zeros(LAST + 1, np.uint8)
+    kind[IDEOGRAPHS:LAST] = 2
+    for c in range(IDEOGRAPHS):
         if chr(c).isalnum() or unicodedata.category(chr(c)).startswith("M"):
             kind[c] = 1
     for a, b in _UNSPACED:
@@ -70,7 +73,7 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     if not len(cp):
         e = np.empty(0, np.int64)
         return np.empty(0, np.uint64), e, e, e, np.empty(0, bool)
-    kind = _KIND[np.minimum(cp, 0xFFFF)]
+    kind = _KIND[np.minimum(cp, LAST)]
     before = np.empty_like(kind)
     before[0], before[1:] = 0, kind[:-1]
     starts = np.flatnonzero((kind == 2) | ((kind == 1) & (before != 1)))
