@@ -428,6 +428,8 @@ def voted_candidates(texts: DataFrame, settings: Settings = Settings()) -> tuple
 
 # -- aggregation of votes -------------------------------------------------
 _BETTER = np.array([0.05, 0.4, 0.55])
+#: A vote against counts for a factor of twenty at least, one in favour never against.
+_SURE = np.log(20)
 
 
 def aggregate_votes(patterns: np.ndarray, counts: np.ndarray, silent: bool = False, rounds: int = 40) -> np.ndarray:
@@ -449,6 +451,7 @@ def aggregate_votes(patterns: np.ndarray, counts: np.ndarray, silent: bool = Fal
             np.add.at(yes, v[:, j], n * post)
             np.add.at(no, v[:, j], n * (1 - post))
             told = np.log(yes / yes.sum()) - np.log(no / no.sum())
+            told[0], told[2] = min(told[0], -_SURE), max(told[2], 0.0)
             if silent:
                 told[1] = 0.0
             odds += told[v[:, j]]
