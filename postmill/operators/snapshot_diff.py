@@ -28,7 +28,8 @@ def snapshot_diff(snaps: DataFrame, fields: list[str], number: str = "snapshot_n
     A presence that is left means added (+1) or removed (-1); only other cells
     left means changed, and their fields are the changed ones.
 
-    Both sums are taken inside one hash partitioning by (snapshot, key): the
+    Rows that are the same in both cancel before they are unpivoted, as all
+    their cells would. The sums are taken inside one hash partitioning by (snapshot, key): the
     unpivot never crosses the network, and a key has at most two rows there,
     however often it was delivered. Null equals null. The first snapshot is
     compared with nothing and gives no row. Only the table of distinct
@@ -41,6 +42,8 @@ def snapshot_diff(snaps: DataFrame, fields: list[str], number: str = "snapshot_n
     out = rows.join(numbers, "n")
     signed = out.select(F.explode(F.array(F.struct(F.when(~F.col("is_first"), F.col("n")).alias("s"), F.lit(1).alias("sign")), F.struct(F.col("next_n").alias("s"), F.lit(-1).alias("sign")))).alias("e"), "k", *fields)
     signed = signed.select("e.s", "e.sign", "k", *fields).where("s is not null").repartition("s", "k")
+    # a row that stands the same in both snapshots cancels as a whole, before it is unpivoted
+    signed = signed.groupBy("s", "k", *fields).agg(F.sum("sign").alias("sign")).where("sign <> 0")
     cell = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields]
     cells = signed.select("s", "k", "sign", F.explode(F.array(F.struct(F.lit(PRESENCE).alias("field"), F.lit(None).cast("string").alias("value")), *cell)).alias("c"))
     left = cells.groupBy("s", "k", "c.field", "c.value").agg(F.sum("sign").alias("net")).where("net <> 0")
