@@ -161,6 +161,8 @@ _THAI_BEFORE = re.compile(r"^(?:.*(?:นางสาว|คุณ|นาย|น
 _THAI_TITLE = re.compile(r"(?:นางสาว|(?:^|[^ก-๙])(?:กรุณา|โปรด|หรือ|และ|ติดต่อ|ถึง|โทรหา|ฝ่ายบุคคล|กับ)*(?:คุณ|นาย|นาง|ชื่อ|ของ)[ \t]*)$")
 _THAI_AFTER = re.compile(r"^[ \t]*(?:หัวหน้า|ผู้จัดการ|เบอร์|อีเมล|เลข|โทร|ตำแหน่ง|\()")
 _TOKEN = re.compile(r"[a-zà-ỹ]+|[ก-๙]+|[぀-ヿ一-鿿]+|[(:+@]")
+_FORM = str.maketrans(dict.fromkeys("0123456789", "9") | dict.fromkeys("abcdefghijklmnopqrstuvwxyz", "a") | dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A"))
+_REPEATED = re.compile(r"([aA])\1+")
 N_VOTES = 7
 #: Places of the lexicon's two votes among those on a name; they are filled once the lexicon is known.
 _LEX = (1, 2)
@@ -215,7 +217,7 @@ class _Text:
         n = self.s.buckets
         out = [_hashed(w, f"l{i}", kind, n) for i, w in enumerate(reversed(_TOKEN.findall(left.lower())[-3:]))]
         out += [_hashed(w, f"r{i}", kind, n) for i, w in enumerate(_TOKEN.findall(right.lower())[:2])]
-        form = re.sub(r"[A-Z]+", "A", re.sub(r"[a-z]+", "a", re.sub(r"\d", "9", self.body[a:b])))
+        form = _REPEATED.sub(r"\1", self.body[a:b].translate(_FORM))
         return [*out, _hashed(left[-5:].lower(), "tail", kind, n), _hashed(form[:24], "form", kind, n)]
 
     def add(self, kind: str, a: int, b: int, left: str, right: str, *votes: int, words: tuple[int, ...] = (-1, -1), strong: bool = False) -> None:
