@@ -41,8 +41,7 @@ def remove_stored(spark: SparkSession) -> int:
     """Delete the intermediate tables of this session, once no result that reads them is needed any more; the number of folders."""
     made = _MADE.pop(spark.sparkContext.applicationId, [])
     for at in made:
-        p = spark._jvm.org.apache.hadoop.fs.Path(at)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        removed(spark, at)
     return len(made)
 
 
@@ -53,6 +52,12 @@ def stored(df: DataFrame, path: str, partition_by: list[str] | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def spread(df: DataFrame, least: int = 4) -> DataFrame:
     """`df` over all cores where its input is so small that Spark reads it in fewer than `least` tasks.
 
