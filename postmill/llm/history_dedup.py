@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.textarrays import clean, mix, shingles, tokens
 from postmill.operators.components import connected_components
-from postmill.operators.ranking import numbered
-from postmill.sources.tables import shared_dir, spread, stored
+from postmill.sources.tables import removed, shared_dir, spread, stored
 
 PERMS = 32
 #: Buckets of the counts that bound the overlap of two bags.
@@ -43,7 +42,7 @@ class Settings:
     tokens of a shingle in spaced and unspaced texts. agree: overlap of the
     token bags (2 * common / both) from which texts are copies. compact_every:
     runs of similar size that are merged into one. tile: rows on a side of a
-    tile of an oversized group. block: sorted rows that a task compares.
+    tile of an oversized group.
     """
 
     keys: int = 8
@@ -55,7 +54,6 @@ class Settings:
     agree: float = 0.83
     compact_every: int = 4
     tile: int = 16384
-    block: int = 65536
 
 
 @dataclass
@@ -157,6 +155,7 @@ class HistoryDedup:
         self.spark, self.s, self.path = spark, settings, path or shared_dir(spark)
         self.batches = self.merges = 0
         self.members_at: list[str] = []
+        self.fresh_at: list[str] = []
         self.runs: list[Run] = []
         self.classes_at: list[str] = []
 
@@ -180,73 +179,94 @@ class HistoryDedup:
         src = batch.where("job_id is not null and raw_text is not null").select(order.alias("ord"), "raw_text")
         return spread(src).mapInPandas(run, "ord string, tid long, keys array<int>, sk binary, counts binary")
 
-    def _key_rows(self, texts: DataFrame) -> DataFrame:
-        """(j, s1, k1, k2, tid): the rows of each key; s1 is k1 spread evenly over 32 bits, in whose order the rows are kept."""
+    def _key_rows(self, texts: DataFrame, *more: str) -> DataFrame:
+        """(j, k1, k2, tid, *more): the rows of each key."""
         k = self.s.keys
         row = F.array(*[F.struct(F.lit(j).alias("j"), F.col("keys")[j].alias("k1"), F.col("keys")[(j + 1) % k].alias("k2")) for j in range(k)])
-        spread_key = F.pmod(F.xxhash64("e.k1"), F.lit(1 << 32))
-        return texts.select(F.explode(row).alias("e"), "tid").select("e.j", spread_key.alias("s1"), "e.k1", "e.k2", "tid")
+        return texts.select(F.explode(row).alias("e"), "tid", *more).select("e.j", "e.k1", "e.k2", "tid", *more)
 
     @staticmethod
     def _range(ranges: int):  # noqa: ANN205
-        """Column: the folder of a key row in a run of so many ranges a key; the ranges are equal parts of the spread key."""
-        return (F.col("j") * ranges + F.floor(F.col("s1") * ranges / (1 << 32))).cast("int")
+        """Column: the folder of a key row in a run of so many ranges a key; the ranges are equal parts of the evenly spread first key part."""
+        return (F.col("j") * ranges + F.floor(F.pmod(F.xxhash64("k1"), F.lit(1 << 32)) * ranges / (1 << 32))).cast("int")
 
     def _write_run(self, rows: DataFrame, n: int, path: str) -> Run:
         """A run of `rows`, sorted inside its ranges."""
         ranges = max(1, round(n / (self.s.keys * self.s.range_rows)))
-        rows = rows.select("j", "s1", "k1", "k2", "tid", self._range(ranges).alias("kr"))
-        rows.repartition("kr").sortWithinPartitions("kr", "s1", "k2", "tid").write.mode("overwrite").partitionBy("kr").parquet(path)
+        rows = rows.select("k1", "k2", "tid", self._range(ranges).alias("kr"))
+        rows.repartition("kr").sortWithinPartitions("kr", "k1", "k2", "tid").write.mode("overwrite").partitionBy("kr").parquet(path)
         return Run(path, ranges, n)
 
     def _read_run(self, run: Run) -> DataFrame:
-        return self.spark.read.schema("j int, s1 long, k1 int, k2 int, tid long, kr int").parquet(run.path)
+        rows = self.spark.read.schema("k1 int, k2 int, tid long, kr int").parquet(run.path)
+        return rows.select(F.floor(F.col("kr") / run.ranges).cast("int").alias("j"), "k1", "k2", "tid", "kr")
 
     def _met(self, keys: DataFrame) -> DataFrame:
-        """(j, k1, k2, tid) of the rows of earlier runs whose first key part is one of `keys`; only the ranges that these fall into are opened."""
-        mine = keys.select("j", "s1", "k1").distinct()
+        """(j, k1, k2, tid, sk) of the rows of earlier runs whose first key part is one of `keys`; only the ranges that these fall into are opened.
+
+        The sketch of a text is kept once and fetched for the texts that were met.
+        """
+        mine = keys.select("j", "k1").distinct()
         found = None
         for run in self.runs:
             touched = [r[0] for r in mine.select(self._range(run.ranges).alias("kr")).distinct().collect()]  # at most keys * ranges
-            old = self._read_run(run).where(F.col("kr").isin(touched)).join(mine.select("j", "k1"), ["j", "k1"], "left_semi").select("j", "k1", "k2", "tid")
+            old = self._read_run(run).where(F.col("kr").isin(touched)).join(mine, ["j", "k1"], "left_semi").select("j", "k1", "k2", "tid")
             found = old if found is None else found.unionByName(old)
-        return found
+        sketches = self.spark.read.schema("tid long, sk binary").parquet(*self.fresh_at)  # each text once
+        return found.join(sketches, "tid").select("j", "k1", "k2", "tid", "sk")
 
-    def _windows(self, rows: DataFrame) -> DataFrame:
-        """Candidate pairs (a, b) of texts, at least one of them new, inside windows of the sorted rows.
+    def _windows(self, rows: DataFrame, n: int, at: str) -> DataFrame:
+        """Candidate pairs (a, b) of texts, at least one of them new, inside windows of the `n` sorted rows.
 
-        The rows are numbered in their order and cut into blocks, the last
-        `window` rows of a block going to the next one too: no pair is lost at
-        a border, and a key shared by very many texts lies in many blocks.
+        The sort is over ranges of (key, id), so rows of one hot key are spread
+        over tasks. The ends of neighbouring tasks, 2 * window rows of each,
+        meet in a second step: border by border, or all in one row of tasks
+        where a task got less than a window, so that no pair is lost.
         """
-        w, least, block = self.s.window, self.s.sketch_min, max(self.s.block, 2 * self.s.window)
+        w, least = self.s.window, self.s.sketch_min
 
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
             if len(pdf) < 2:
                 return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-            j, part, tid, new = pdf["j"].to_numpy(), pdf["part"].to_numpy(), pdf["tid"].to_numpy(), pdf["new"].to_numpy()
+            j, tid, new = pdf["j"].to_numpy(), pdf["tid"].to_numpy(), pdf["new"].to_numpy()
             sk = np.frombuffer(b"".join(pdf["sk"]), np.uint8).reshape(len(pdf), PERMS)
             a, b = [], []
             for d in range(1, min(w, len(pdf) - 1) + 1):
-                i = np.flatnonzero((j[d:] == j[:-d]) & (part[d:] == part[:-d]) & (new[d:] | new[:-d]) & (tid[d:] != tid[:-d]))
+                i = np.flatnonzero((j[d:] == j[:-d]) & (new[d:] | new[:-d]) & (tid[d:] != tid[:-d]))
                 i = i[(sk[i] == sk[i + d]).sum(1) >= least]
                 a.append(np.minimum(tid[i], tid[i + d]))
                 b.append(np.maximum(tid[i], tid[i + d]))
             return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            tail = None
+            from pyspark import TaskContext
+
+            pid, tail, head, size = TaskContext.get().partitionId(), None, None, 0
             for pdf in frames:
+                head = pdf.head(w) if head is None else pd.concat([head, pdf.head(w - len(head))]) if len(head) < w else head
+                size += len(pdf)
                 both = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
-                yield compare(both)
+                yield compare(both).assign(border=-1, j=0, k1=0, k2=0, tid=0, sk=b"", new=False, short=False)
                 tail = both.tail(w).reset_index(drop=True)
-
-        at = numbered(rows, [], ["j", "k1", "k2", "tid"], "at").withColumn("at", F.col("at") - 1)
-        own = F.floor(F.col("at") / block)
-        parts = F.when(F.pmod("at", F.lit(block)) >= block - w, F.array(own, own + 1)).otherwise(F.array(own))
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        cut = at.withColumn("part", F.explode(parts)).repartition(n, "part").sortWithinPartitions("part", "at")
-        return cut.select("j", "part", "tid", "new", "sk").mapInPandas(run, "a long, b long").distinct()
+            if size:
+                yield head.assign(border=pid, a=0, b=0, short=size < w)
+                yield tail.assign(border=pid + 1, a=0, b=0, short=size < w)
+
+        def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.drop_duplicates(["j", "tid"])
+            return compare(pdf.sort_values(["j", "k1", "k2", "tid"], kind="stable").reset_index(drop=True))
+
+        # no more tasks than keep each of them busy: a task shorter than a window is rare then
+        parts = max(1, min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), n // 5000))
+        ordered = rows.repartitionByRange(parts, "j", "k1", "k2", "tid").sortWithinPartitions("j", "k1", "k2", "tid")
+        schema = "border int, j int, k1 int, k2 int, tid long, sk binary, new boolean, a long, b long, short boolean"
+        out = stored(ordered.select("j", "k1", "k2", "tid", "sk", "new").mapInPandas(run, schema), at)
+        ends = out.where("border >= 0")
+        # a missing task is one that got no row
+        got = ends.where("border > 0 or not short").agg(F.max("short"), F.countDistinct("border")).first()
+        if got[0] or (got[1] or 0) < parts + 1:
+            ends = ends.withColumn("border", F.lit(0))
+        return out.where("border < 0").select("a", "b").unionByName(ends.groupBy("border").applyInPandas(meet, "a long, b long")).distinct()
 
     def _oversized(self, rows: DataFrame) -> DataFrame:
         """Candidate pairs (a, b) inside the groups of equal keys that a window can't cover: each new row with every other row.
@@ -370,26 +390,26 @@ class HistoryDedup:
         """Take a batch. `source` has (job_id, raw_text) of the batch and all earlier ones, read only for verification."""
         i = self.batches
         signed = stored(self._signed(batch), f"{self.path}/signed/{i}")
-        fresh = signed.groupBy("tid").agg(F.min_by("keys", "ord").alias("keys"))
+        fresh = signed.groupBy("tid").agg(F.min_by(F.struct("keys", "sk"), "ord").alias("r")).select("tid", "r.*")
         if self.members_at:
             fresh = fresh.join(self._members("tid long"), "tid", "left_anti")
-        keys = stored(self._key_rows(fresh), f"{self.path}/keys/{i}")
-        n = keys.count()
+        fresh = stored(fresh, f"{self.path}/fresh/{i}")
+        n = fresh.count()
         if n or signed.limit(1).count():
             self.members_at.append(f"{self.path}/signed/{i}")
         if n:
-            rows = keys.select("j", "k1", "k2", "tid").withColumn("new", F.lit(True))
+            keys = self._key_rows(fresh)
+            rows = self._key_rows(fresh, "sk").withColumn("new", F.lit(True))
             if self.runs:
                 rows = rows.unionByName(self._met(keys).withColumn("new", F.lit(False)))
             rows = stored(rows, f"{self.path}/met/{i}")
-            # the sketch of a text is kept once and fetched for the texts that were met
-            sketches = self._members("tid long, sk binary").join(rows.select("tid").distinct(), "tid", "left_semi").dropDuplicates(["tid"])
-            rows = stored(rows.join(sketches, "tid").select("j", "k1", "k2", "tid", "sk", "new"), f"{self.path}/sketched/{i}")
-            pairs = stored(self._windows(rows).unionByName(self._oversized(rows)).distinct(), f"{self.path}/pairs/{i}")
+            pairs = stored(self._windows(rows, rows.count(), f"{self.path}/windows/{i}").unionByName(self._oversized(rows)).distinct(), f"{self.path}/pairs/{i}")
+            removed(self.spark, f"{self.path}/met/{i}")
             pairs = stored(self._bounded(pairs), f"{self.path}/candidates/{i}")
             links = stored(self._verified(pairs, source), f"{self.path}/links/{i}")
             self._relabel(links)
-            self.runs.append(self._write_run(keys, n, f"{self.path}/runs/{i}"))
+            self.runs.append(self._write_run(keys, n * self.s.keys, f"{self.path}/runs/{i}"))
+            self.fresh_at.append(f"{self.path}/fresh/{i}")
             self._compact()
         self.batches += 1
 
