@@ -30,6 +30,8 @@ HOME_PLACES = r"thailand|bangkok|\bbkk\b|chiang mai|phuket|pattaya|chonburi|rayo
 # Names that are also plain words: counted with a capital only; never counted by themselves.
 CAPITAL_ONLY = "swift react node ruby spark hive"
 NEVER_ALONE = "c agents lambda algorithms spring regression rest api experimentation spreadsheets"
+# Other names of spoken languages.
+LANGUAGE_ALIASES = {"mandarin": "Chinese", "chinese (mandarin)": "Chinese", "thai": "Thai", "english": "English"}
 #: Names of at most so many characters must be written exactly.
 EXACT_UP_TO = 2
 #: A number of years, also as a span ("3-5 years") or with a plus.
@@ -81,3 +83,12 @@ def home_first(location: Column, more: Column, country: Column) -> Column:
 
 def enum_or(c: Column, allowed: tuple[str, ...], default: str | None) -> Column:
     return F.when(c.isin(*allowed), c).otherwise(F.lit(default))
+
+
+def spoken_language(c: Column) -> Column:
+    """A language by its usual name: known aliases in any case, others with capitals after spaces; null for blank ones."""
+    t = F.trim(c)
+    out = F.initcap(t)
+    for alias, name in LANGUAGE_ALIASES.items():
+        out = F.when(F.lower(t) == alias, name).otherwise(out)
+    return F.nullif(out, F.lit(""))

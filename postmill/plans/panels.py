@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from postmill.functions import rules
 from postmill.plans.marts import _BEST, _CUR, best_extraction, current_postings
 from postmill.sources.tables import shared_dir, stored, table
 
@@ -32,7 +33,7 @@ def panel_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = filtered(spark, sf_dir)
     n = _skills(spark, sf_dir).join(v.select("job_id"), "job_id", "left_semi").groupBy("job_id").agg(F.count(F.lit(1)).alias("n"))
     return v.join(n, "job_id", "left").agg(
-        F.count(F.lit(1)).alias("n_postings"), F.countDistinct("company").alias("n_companies"), F.count_if("is_open").alias("n_open"),
+        F.count(F.lit(1)).alias("n_postings"), F.countDistinct("company").alias("n_companies"), F.count_if("is_open").alias("n_open"), F.try_divide(F.count_if("is_open"), F.count("is_open")).alias("open_share"),
         F.expr("percentile(coalesce(n, 0), 0.5)").cast("int").alias("median_skills"), F.count_if(F.col("seniority") == "unknown").alias("n_unknown"),
     )
 
@@ -102,7 +103,7 @@ def family_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def languages_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "posting_attributes").where("job_id is not null").select("job_id", F.explode("spoken_languages").alias("x"))
-    return a.groupBy(F.initcap(F.trim("x")).alias("language")).agg(F.countDistinct("job_id").alias("n_postings"))
+    return a.groupBy(rules.spoken_language(F.col("x")).alias("language")).agg(F.countDistinct("job_id").alias("n_postings")).where("language is not null")
 
 
 def posting_age(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +148,7 @@ _LEVELS = ["intern", "junior", "mid", "senior", "lead", "manager", "unknown"]
 QUERIES = {f.__name__: f for f in (panel_filter, panel_kpis, top_skills, share_matrix, weekly_trend, listing, company_share, pay_by_level, family_by_level, languages_asked, posting_age, props_counts, event_paths, skill_set_changes, order_revenue)}
 SQL = {
     "panel_filter": f"{_HEAD} SELECT job_id, role_family, seniority, th_primary FROM v WHERE th_primary IS DISTINCT FROM true AND extraction_method LIKE 'llm%'",
-    "panel_kpis": f"{_HEAD}, n AS (SELECT job_id, count(*) AS n FROM s GROUP BY 1) SELECT count(*) AS n_postings, count(DISTINCT company) AS n_companies, count(*) FILTER (WHERE is_open) AS n_open, trunc(median(coalesce(n, 0)))::int AS median_skills, count(*) FILTER (WHERE seniority = 'unknown') AS n_unknown FROM v LEFT JOIN n ON n.job_id = v.job_id",
+    "panel_kpis": f"{_HEAD}, n AS (SELECT job_id, count(*) AS n FROM s GROUP BY 1) SELECT count(*) AS n_postings, count(DISTINCT company) AS n_companies, count(*) FILTER (WHERE is_open) AS n_open, count(*) FILTER (WHERE is_open)::double / nullif(count(is_open), 0) AS open_share, trunc(median(coalesce(n, 0)))::int AS median_skills, count(*) FILTER (WHERE seniority = 'unknown') AS n_unknown FROM v LEFT JOIN n ON n.job_id = v.job_id",
     "top_skills": f"{_TOP} SELECT skill, n_postings, share FROM t",
     "share_matrix": f"{_TOP}, g AS (SELECT role_family, count(*) AS n_group FROM v GROUP BY 1), n AS (SELECT role_family, skill, count(*) AS n FROM s JOIN v ON v.job_id = s.job_id GROUP BY 1, 2) SELECT g.role_family, t.skill, coalesce(n, 0) AS n_postings, coalesce(n, 0)::double / n_group AS share, n_group < 10 AS few FROM g CROSS JOIN t LEFT JOIN n ON n.role_family = g.role_family AND n.skill = t.skill",
     "weekly_trend": f"{_TOP}, k AS (SELECT skill FROM t ORDER BY n_postings DESC, skill LIMIT 3), d AS (SELECT DISTINCT date_trunc('week', seen_date)::date AS week, job_id FROM daily_active WHERE job_id IS NOT NULL AND seen_date IS NOT NULL), a AS (SELECT week, count(*) AS n_active FROM d GROUP BY 1), n AS (SELECT week, skill, count(*) AS n FROM d JOIN s ON s.job_id = d.job_id GROUP BY 1, 2) SELECT a.week, k.skill, n_active, coalesce(n, 0) AS n_postings FROM a CROSS JOIN k LEFT JOIN n ON n.week = a.week AND n.skill = k.skill",
@@ -155,7 +156,7 @@ SQL = {
     "company_share": f"WITH {_CUR} SELECT company, count(*) AS n_postings FROM cur WHERE company IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     "pay_by_level": "WITH b AS (SELECT seniority, salary_currency, min(salary_min) AS lo, max(salary_max) AS hi FROM posting_attributes WHERE salary_currency IS NOT NULL GROUP BY 1, 2) SELECT seniority, salary_currency, 'lowest' AS bound, lo AS amount FROM b WHERE lo IS NOT NULL UNION ALL SELECT seniority, salary_currency, 'highest', hi FROM b WHERE hi IS NOT NULL",
     "family_by_level": f"WITH {_BEST} SELECT role_family, " + ", ".join(f"count(*) FILTER (WHERE seniority = '{x}') AS n_{x}" for x in _LEVELS) + " FROM best GROUP BY 1",
-    "languages_asked": "WITH a AS (SELECT job_id, trim(unnest(spoken_languages)) AS x FROM posting_attributes WHERE job_id IS NOT NULL) SELECT upper(x[1]) || lower(x[2:]) AS language, count(DISTINCT job_id) AS n_postings FROM a GROUP BY 1",
+    "languages_asked": "WITH a AS (SELECT job_id, trim(unnest(spoken_languages)) AS x FROM posting_attributes WHERE job_id IS NOT NULL) SELECT CASE " + " ".join(f"WHEN lower(x) = '{k}' THEN '{v}'" for k, v in rules.LANGUAGE_ALIASES.items()) + " ELSE upper(x[1]) || lower(x[2:]) END AS language, count(DISTINCT job_id) AS n_postings FROM a WHERE x <> '' GROUP BY 1",
     "posting_age": f"WITH {_CUR} SELECT job_id, (first_seen - posted_date)::int AS days, first_seen - posted_date > 14 AS late, date_trunc('week', first_seen)::date AS week FROM cur WHERE posted_date IS NOT NULL AND first_seen IS NOT NULL",
     "props_counts": "SELECT event_type, (props::json->>'$.k')::int AS k, count(*) AS n_events FROM events GROUP BY 1, 2",
     "event_paths": "SELECT user_id, ts::date AS day, string_agg(event_type, '>' ORDER BY ts, event_id) AS path FROM events GROUP BY 1, 2",

@@ -62,6 +62,27 @@ def gold_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("r", F.row_number().over(Window.orderBy("h"))).select("job_id", F.when(F.col("r") <= 30, "dev").otherwise("test").alias("split"))
 
 
+def gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled postings with what a labeller needs to see, as the last row of each has it."""
+    cols = ["source", "company", "title", "url", "location", "posted_date", "raw_text"]
+    s = gold_sample(spark, sf_dir)
+    p = table(spark, sf_dir, "job_postings").join(s.select("job_id"), "job_id", "left_semi").groupBy("job_id").agg(F.max(F.struct("last_seen", "is_open", *cols)).alias("r"))
+    return s.join(p, "job_id").select("job_id", "split", *[F.col("r")[c].alias(c) for c in cols])
+
+
+def extend_sample(sample: DataFrame, pool: DataFrame, n_dev: int = 30, of: int = 80, seed: str = "7") -> DataFrame:
+    """`sample` (job_id, split) and the postings of `pool` (job_id) that are not in it, in the order of a hash.
+
+    A first sample takes n_dev for development whatever its size; later ones the share n_dev / of, rounded.
+    """
+    new = pool.where("job_id is not null").select("job_id").distinct().join(sample.select("job_id"), "job_id", "left_anti")
+    n, first = new.count(), sample.limit(1).count() == 0
+    dev = n_dev if first else max(0, round(n * n_dev / of))
+    picked = new.withColumn("h", F.md5(F.concat("job_id", F.lit(f":{seed}")))).orderBy("h", "job_id").limit(dev).select("job_id", F.lit("dev").alias("split"))
+    rest = new.join(picked.select("job_id"), "job_id", "left_anti").select("job_id", F.lit("test").alias("split"))
+    return sample.select("job_id", "split").unionByName(picked).unionByName(rest)
+
+
 def label_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label that holds for each posting, how often it was set and whether the last time changed it."""
     x = table(spark, sf_dir, "posting_lang").where("job_id is not null and declared_at is not null").distinct()
@@ -109,7 +130,7 @@ j AS (SELECT DISTINCT job_id FROM gold WHERE job_id IN (SELECT job_id FROM found
 x AS (SELECT coalesce(g.job_id, f.job_id) AS job_id, coalesce(g.name, f.name) AS name, g.name IS NOT NULL AS gold, f.name IS NOT NULL AS found FROM (SELECT * FROM gold WHERE job_id IN (SELECT job_id FROM j)) g FULL JOIN (SELECT * FROM found WHERE job_id IN (SELECT job_id FROM j)) f ON g.job_id = f.job_id AND g.name = f.name)"""
 _FAMILY = "CASE " + " ".join(f"WHEN regexp_matches(title, '{p}', 'i') THEN '{n}'" for n, p in rules.ROLE_RULES) + " ELSE 'Other tech' END"
 _LEVEL = "CASE " + " ".join(f"WHEN regexp_matches(title, '{p}', 'i') THEN '{n}'" for n, p in rules.LEVEL_RULES) + " ELSE 'unknown' END"
-QUERIES = {f.__name__: f for f in (skill_evaluation, skill_errors, rule_accuracy, health_report, gold_sample, label_changes, discovery_counts, stats_metrics, late_postings)}
+QUERIES = {f.__name__: f for f in (skill_evaluation, skill_errors, rule_accuracy, health_report, gold_sample, gold_rows, label_changes, discovery_counts, stats_metrics, late_postings)}
 SQL = {
     "skill_evaluation": f"{_EVAL}, c AS (SELECT count(DISTINCT job_id) AS n_postings, count(*) FILTER (WHERE gold AND found) AS tp, count(*) FILTER (WHERE NOT gold) AS fp, count(*) FILTER (WHERE NOT found) AS fn FROM x) SELECT *, tp::double / nullif(tp + fp, 0) AS precision, tp::double / nullif(tp + fn, 0) AS recall FROM c",
     "skill_errors": f"{_EVAL}, e AS (SELECT name, CASE WHEN gold THEN 'missed' ELSE 'extra' END AS kind, count(*) AS n FROM x WHERE gold <> found GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, name) AS place FROM e) SELECT kind, name, n FROM r WHERE place <= 10",
@@ -118,6 +139,7 @@ SQL = {
 k AS (SELECT DISTINCT snapshot_no FROM s ORDER BY 1 DESC LIMIT 2), x AS (SELECT q.source, a.n AS n_now, b.n AS n_prev FROM (SELECT DISTINCT source FROM s) q LEFT JOIN n a ON a.source = q.source AND a.snapshot_no = (SELECT max(snapshot_no) FROM k) LEFT JOIN n b ON b.source = q.source AND b.snapshot_no = (SELECT min(snapshot_no) FROM k))
 SELECT 'absent' AS rule, source, 0::bigint AS n_now, coalesce(n_prev, 0) AS n_prev FROM x WHERE n_now IS NULL UNION ALL SELECT 'fell', source, n_now, n_prev FROM x WHERE n_now < 0.5 * n_prev UNION ALL SELECT 'delivered', source, n_now, coalesce(n_prev, 0) FROM x WHERE n_now IS NOT NULL""",
     "gold_sample": "WITH p AS (SELECT job_id, md5(job_id || ':7') AS h FROM (SELECT DISTINCT job_id FROM job_postings WHERE job_id IS NOT NULL)), r AS (SELECT job_id, row_number() OVER (ORDER BY h) AS r FROM p) SELECT job_id, CASE WHEN r <= 30 THEN 'dev' ELSE 'test' END AS split FROM r WHERE r <= 80",
+    "gold_rows": "WITH p AS (SELECT job_id, md5(job_id || ':7') AS h FROM (SELECT DISTINCT job_id FROM job_postings WHERE job_id IS NOT NULL)), r AS (SELECT job_id, row_number() OVER (ORDER BY h) AS r FROM p), l AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY last_seen DESC NULLS LAST, is_open DESC NULLS LAST, source DESC NULLS LAST, company DESC NULLS LAST, title DESC NULLS LAST, url DESC NULLS LAST, location DESC NULLS LAST, posted_date DESC NULLS LAST, raw_text DESC NULLS LAST) AS rn FROM job_postings) SELECT r.job_id, CASE WHEN r <= 30 THEN 'dev' ELSE 'test' END AS split, source, company, title, url, location, posted_date, raw_text FROM r JOIN l ON l.job_id = r.job_id AND rn = 1 WHERE r <= 80",
     "label_changes": "WITH x AS (SELECT DISTINCT * FROM posting_lang WHERE job_id IS NOT NULL AND declared_at IS NOT NULL), r AS (SELECT *, lag(declared_lang) OVER w AS prev, row_number() OVER w AS k, count(*) OVER (PARTITION BY job_id) AS n FROM x WINDOW w AS (PARTITION BY job_id ORDER BY declared_at, declared_lang NULLS FIRST)) SELECT job_id, declared_lang, n AS n_set, n > 1 AND declared_lang IS DISTINCT FROM prev AS changed FROM r WHERE k = n",
     "discovery_counts": """WITH p AS (SELECT * FROM job_postings WHERE job_id IS NOT NULL AND company IS NOT NULL), n AS (SELECT company, source, count(DISTINCT job_id) AS n_postings, count(DISTINCT job_id) FILTER (WHERE th_primary) AS n_home FROM p GROUP BY 1, 2),
 t AS (SELECT company, source, string_agg(title, ' | ' ORDER BY title) AS first_titles FROM (SELECT company, source, title, row_number() OVER (PARTITION BY company, source ORDER BY title) AS k FROM (SELECT DISTINCT company, source, title FROM p WHERE title IS NOT NULL)) WHERE k <= 8 GROUP BY 1, 2)

@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from postmill.operators.components import connected_components
 from postmill.operators.evaluation import canonical_names, evaluate
@@ -15,6 +16,7 @@ from postmill.operators.runlog import daily_totals, health_problems, last_rows,
 from postmill.operators.similarity import class_links, near_duplicate_groups, text_classes
 from postmill.operators.snapshot_diff import snapshot_diff
 from postmill.plans.duplicates import representatives
+from postmill.plans.quality import extend_sample
 
 SNAP = "snapshot_no int, job_id string, a string, b int, delivered_at timestamp, k string"
 T0 = datetime(2026, 1, 1)
@@ -245,3 +247,13 @@ def test_marts_in_one_job(spark, tmp_path):
     assert a == {"a": ("llm", "BA", 40.0, True), "b": ("rules", "SA", None, False), "c": ("rules", "DA", None, False), "gone": ("rules", "DA", None, False)}
     assert build_and_publish(days, e, ("llm", "p2"), "r1", at) == counts and spark.read.parquet(f"{at}/job_postings").count() == 4
     assert all(v == 0 for v in build_and_publish(days.limit(0), e.limit(0), ("llm", "p2"), "r1", at).values())
+
+
+def test_samples_grow_by_their_share(spark):
+    ids = lambda a, b: spark.createDataFrame([(f"i{k:03}",) for k in range(a, b)] + [(None,)], "job_id string")
+    none = spark.createDataFrame([], "job_id string, split string")
+    first = extend_sample(none, ids(0, 50))
+    parts = lambda df: {r["split"]: r["n"] for r in df.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert parts(first) == {"dev": 30, "test": 20} and parts(extend_sample(none, ids(0, 5))) == {"dev": 5}
+    second = extend_sample(first, ids(0, 66))
+    assert parts(second) == {"dev": 36, "test": 30} and first.exceptAll(second).count() == 0
