@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from postmill.sources.tables import spread
 
+#: The rank file where the setting postmill.tokenizer.ranks names no other.
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 _ENCODERS: dict = {}
 
@@ -27,9 +28,11 @@ def encoder(path: str = RANKS):  # noqa: ANN201
     return _ENCODERS[path]
 
 
-def token_sizes(pages: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), path: str = RANKS) -> DataFrame:
+def token_sizes(pages: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
     """(id, n_tokens, *keep) of each row with a text; whole texts, one pass, no shuffle. A blank text may have no token."""
 
+    path = path or pages.sparkSession.conf.get("postmill.tokenizer.ranks", RANKS)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
         for pdf in frames:
