@@ -133,6 +133,22 @@ def signatures(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray, n
     return tid.astype(np.int64), mh, bucket_counts(units >> np.uint64(32), doc, n)
 
 
+def sketches(mh: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """[n, PERMS + 4] bytes: the last byte of each min-hash, and the size of the bag."""
+    return np.concatenate([(mh & 0xFF).astype(np.uint8), counts[:, -4:]], 1)
+
+
+def opened(sk) -> tuple[np.ndarray, np.ndarray]:  # noqa: ANN001
+    """(sketch bytes, sizes) of a column of sketches."""
+    x = np.frombuffer(b"".join(sk), np.uint8).reshape(-1, PERMS + 4)
+    return x[:, :PERMS], np.ascontiguousarray(x[:, PERMS:]).view(np.uint32)[:, 0].astype(np.int64)
+
+
+def sizes_agree(x: np.ndarray, y: np.ndarray, agree: float) -> np.ndarray:
+    """False only where bags of these sizes can't overlap by `agree`, one lying in the other."""
+    return 2 * np.minimum(x, y) >= agree * (x + y)
+
+
 def _pieces(pdf: pd.DataFrame, column: str, chars: int = 600_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
     """The frame in pieces of about `chars` characters, with their cleaned texts; whole texts always."""
     texts = [clean(t) for t in pdf[column]]
@@ -172,7 +188,7 @@ class HistoryDedup:
                         keys = mh[:, : s.keys].view(np.int32)
                         yield pd.DataFrame({
                             "ord": part["ord"].to_numpy()[ok], "tid": tid[ok], "keys": list(keys[ok]),
-                            "sk": [r.tobytes() for r in (mh & 0xFF).astype(np.uint8)[ok]], "counts": [r.tobytes() for r in counts[ok]],
+                            "sk": [r.tobytes() for r in sketches(mh, counts)[ok]], "counts": [r.tobytes() for r in counts[ok]],
                         })
 
         order = F.concat(F.coalesce(F.date_format("first_seen", "yyyy-MM-dd"), F.lit("9999-12-31")), F.lit(" "), F.col("job_id"))
@@ -223,16 +239,17 @@ class HistoryDedup:
         meet in a second step: border by border, or all in one row of tasks
         where a task got less than a window, so that no pair is lost.
         """
-        w, least = self.s.window, self.s.sketch_min
+        w, least, agree = self.s.window, self.s.sketch_min, self.s.agree
 
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
             if len(pdf) < 2:
                 return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
             j, tid, new = pdf["j"].to_numpy(), pdf["tid"].to_numpy(), pdf["new"].to_numpy()
-            sk = np.frombuffer(b"".join(pdf["sk"]), np.uint8).reshape(len(pdf), PERMS)
+            sk, size = opened(pdf["sk"])
             a, b = [], []
             for d in range(1, min(w, len(pdf) - 1) + 1):
                 i = np.flatnonzero((j[d:] == j[:-d]) & (new[d:] | new[:-d]) & (tid[d:] != tid[:-d]))
+                i = i[sizes_agree(size[i], size[i + d], agree)]
                 i = i[(sk[i] == sk[i + d]).sum(1) >= least]
                 a.append(np.minimum(tid[i], tid[i + d]))
                 b.append(np.maximum(tid[i], tid[i + d]))
@@ -275,7 +292,7 @@ class HistoryDedup:
         pair of slices with new rows on one side is a tile of its own, so no
         task holds more than two slices, however large the group.
         """
-        least, tile, group = self.s.sketch_min, self.s.tile, ["j", "k1", "k2"]
+        least, agree, tile, group = self.s.sketch_min, self.s.agree, self.s.tile, ["j", "k1", "k2"]
 
         def compare(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             xt, yt, found = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), []
@@ -291,7 +308,7 @@ class HistoryDedup:
         def pairs_of(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
             tid, new, own = pdf["tid"].to_numpy(), pdf["new"].to_numpy(), pdf["own"].to_numpy()
             kind, left, right = pdf["kind"].to_numpy(), pdf["x"].to_numpy(), pdf["y"].to_numpy()
-            sk = np.frombuffer(b"".join(pdf["sk"]), np.uint8).reshape(len(pdf), PERMS)
+            sk, size = opened(pdf["sk"])
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for s, e in zip(bounds[:-1], bounds[1:], strict=True):
                 r = np.arange(s, e)
@@ -302,7 +319,8 @@ class HistoryDedup:
                 i, j = compare(sk[p], sk[q])
                 if kind[s] == 1 and left[s] == right[s]:
                     i, j = i[i < j], j[i < j]
-                u, v = tid[p[i]], tid[q[j]]
+                ok = sizes_agree(size[p[i]], size[q[j]], agree)
+                u, v = tid[p[i[ok]]], tid[q[j[ok]]]
                 a.append(np.minimum(u, v))
                 b.append(np.maximum(u, v))
             return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
