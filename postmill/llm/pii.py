@@ -110,6 +110,10 @@ def _address(flags: int) -> tuple[re.Pattern, re.Pattern]:
 
 
 _ADDRESS = {False: _address(0), True: _address(re.I)}
+#: A text with capitals and none of these has no address, one with none of the second list no e-mail address: cheap looks before the patterns.
+_ADDRESS_HINTS = ("Street", "Road", "Rd", "Lane", "Ln", "Ave", "Close", "Boulevard", "Blvd", "Drive", "Way", "Square", "Soi", "Moo", "ซอย", "หมู่", "ตรอก", "ถนน")
+_SHORT_STREET = re.compile(r"\bSt\b")
+_EMAIL_HINTS = ("@", "[at]", "(at)", "[AT]", "(AT)", "[At]", "(At)", " dot ", " DOT ", " Dot ", "\tdot", "\tDOT")
 #: The sign of an address; the local part is read to its left, the domain to its right.
 _AT = re.compile(r"[ \t]*(?:@|\[at\]|\(at\))[ \t]*|[ \t]+at[ \t]+(?=[a-z0-9-]+[ \t]+dot[ \t])", re.I)
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
@@ -142,12 +146,14 @@ _CUE = re.compile(
 )
 _AFTER = re.compile(r"^[ \t]*(?:さん|様|氏|先生|女士|[,(:：，、（]?[ \t]*(?:tel|phone|mobile|call|e-?mail|mail|id\b|passport|โทร|เบอร์|อีเมล|メール|電話|邮箱|电话|thư|điện thoại|courriel|surel|nomor|unter der))", re.I)
 _START = re.compile(r"(?:^|[.:!?。！？•*>;-])[ \t]*$")
-# Words of organisations, places, streets and beginnings of sentences; never part of a person's name.
+# Words that begin sentences with a capital and never a name.
+FUNCTION_WORDS = "The Our Your We You This That These It He She They And Or For From With At In On As By To Of If Not No All Please"
+# Words of organisations, places, streets, days and titles; hardly ever part of a person's name.
 NOT_NAME = """Group Labs Lab Systems Works Partners Digital Asia Studio Cloud Tower District Street Road Lane Avenue Square Floor Company Limited Inc Ltd Corp
-University Department Team Office Bank Hotel The Our Your We You This That These It He She They And Or For From With At In On As By To Of If Not No All Please Send Mail Email Phone Call
-Contact Mr Mrs Ms Miss Dr Khun Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December
+University Department Team Office Bank Hotel Send Mail Email Phone Call Contact Mr Mrs Ms Miss Dr Khun Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December
 Senior Junior Lead Manager Engineer Analyst Developer"""
-_NOT_NAME = {w.lower() for w in NOT_NAME.split()}
+_NOT_FIRST = {w.lower() for w in FUNCTION_WORDS.split()}
+_NOT_NAME = {w.lower() for w in NOT_NAME.split()} | _NOT_FIRST
 _HONORIFIC = {w.lower() for w in HONORIFIC.split()}
 _GIVEN = {w.lower() for w in GIVEN.split()}
 _RUN = re.compile(rf"(?<![{_LOW}\d_@./-])(?:{_WORD_FORM}|[A-Z](?:\.|(?=[ \t])))(?:,?[ \t]+(?:{_WORD_FORM}|[A-Z](?:\.|(?=[ \t]))))+(?![@_\d])")
@@ -228,6 +234,8 @@ class _Text:
     # -- e-mail, address, numbers -----------------------------------------
     def emails(self) -> None:
         body = self.body
+        if not any(k in body for k in _EMAIL_HINTS):
+            return
         for at in _AT.finditer(body):
             a = at.start()
             while a and _LOCAL_END.match(body[a - 1]):
@@ -245,6 +253,8 @@ class _Text:
 
     def addresses(self) -> None:
         body = self.body
+        if not self.plain and not any(k in body for k in _ADDRESS_HINTS) and not (" St" in body and _SHORT_STREET.search(body)):
+            return
         first, second = _ADDRESS[self.plain]
         for m in (*first.finditer(body), *second.finditer(body)):
             a, b = m.span()
@@ -284,26 +294,33 @@ class _Text:
         if not self.free(a, b) or b < len(body) and body[b] in "@_":
             return
         slots = tuple(_slot(w, s) if len(w.rstrip(".")) > 1 else -1 for w in (given, family))
-        lex = [0, 0] if self.lexicon is None else _lexicon_votes(self.lexicon, np.array([slots]))[0].tolist()
+        lex = self.told(slots)
         # without capitals a cue must be a clear one: a form of address, or with a colon or comma
         if self.plain and not cued and lex[0] < 1 and not (body[max(0, a - 3) : a].rstrip(" \t")[-1:] in (":", ",", "：") and _CUE.search(body, max(0, a - s.left), a)):
             return
         left, right = self.around(a, b)
         strong = cued or bool(_CUE.search(left))
-        words = [w for part in (given, family) for w in part.lower().split("-")]
-        bad = any(w.rstrip(".") in _NOT_NAME for w in words)
+        words = f"{given}-{family}".lower().replace(".", "").split("-")
+        bad = not _NOT_NAME.isdisjoint(words)
         self.add(
-            "name", a, b, left, right, initial or (1 if any(w in _GIVEN for w in words) else 0), *lex, 1 if strong else 0, 1 if _START.search(left) else 0,
+            "name", a, b, left, right, initial or (0 if _GIVEN.isdisjoint(words) else 1), *lex, 1 if strong else 0, 1 if _START.search(left) else 0,
             1 if _AFTER.search(right) or _THAI_AFTER.search(right) else 0, -1 if bad else 0, words=slots, strong=strong,
         )
 
+    def told(self, slots: tuple[int, ...]) -> list[int]:
+        """_lexicon_votes of one pair of slots."""
+        if self.lexicon is None:
+            return [0, 0]
+        v = [int(self.lexicon[k]) if k >= 0 else 0 for k in slots]
+        return [-1 if min(v) < 0 else max(v), int(min(v) > 0)]
+
     def latin_names(self) -> None:
         runs, part = (_LOOSE, _LOOSE_PART) if self.plain else (_RUN, _PART)
         for m in runs.finditer(self.body):
-            toks = [(t.start(1), t.end(1), t.group(1), bool(t.group(2))) for t in part.finditer(self.body, m.start(), m.end())]
+            toks = [(t.start(1), t.end(1), t[1], t[2] == ",") for t in part.finditer(self.body, m.start(), m.end())]
             for i, (a, e, w, comma) in enumerate(toks[:-1]):
                 bare = w.rstrip(".").lower()
-                if bare in _HONORIFIC or self.plain and (len(bare) < 2 or bare in _NOT_NAME):
+                if bare in _HONORIFIC or bare in _NOT_FIRST or self.plain and (len(bare) < 2 or bare in _NOT_NAME):
                     continue
                 cued = i > 0 and toks[i - 1][2].rstrip(".").lower() in _HONORIFIC
                 j = i + 1
