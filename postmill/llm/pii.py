@@ -466,7 +466,7 @@ def aggregate_votes(patterns: np.ndarray, counts: np.ndarray, silent: bool = Fal
         odds = np.zeros(len(v))
         for j in range(v.shape[1]):
             # each table leans to a labeler that is better than chance; the class of the unreal by a share of all weight, so that a kind whose candidates are all real stays in one class
-            yes, no = _BETTER * (1 + 0.1 * (n @ post)), _BETTER[::-1] * (1 + 0.003 * n.sum())
+            yes, no = _BETTER * (1 + 0.1 * (n @ post)), _BETTER[::-1] * (1 + 0.0005 * n.sum())
             np.add.at(yes, v[:, j], n * post)
             np.add.at(no, v[:, j], n * (1 - post))
             told = np.log(yes / yes.sum()) - np.log(no / no.sum())
