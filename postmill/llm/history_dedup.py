@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.textarrays import clean, mix, shingles, tokens
 from postmill.operators.components import connected_components
-from postmill.sources.tables import removed, shared_dir, spread, stored
+from postmill.sources.tables import removed, shared_dir, sifted, spread, stored
 
 PERMS = 32
 #: Buckets of the counts that bound the overlap of two bags.
@@ -149,6 +149,19 @@ def sizes_agree(x: np.ndarray, y: np.ndarray, agree: float) -> np.ndarray:
     return 2 * np.minimum(x, y) >= agree * (x + y)
 
 
+def agreeing(x: np.ndarray, y: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the sketches x[i] and y[j] that are equal in `least` bytes or more."""
+    xt, yt, found = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), []
+    step = max(1, 1_000_000 // max(1, len(y)))
+    for i in range(0, len(x), step):
+        same = np.zeros((min(step, len(x) - i), len(y)), np.uint8)
+        for p in range(PERMS):
+            same += xt[p, i : i + step, None] == yt[p]
+        a, b = np.nonzero(same >= least)
+        found.append((a + i, b))
+    return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (np.empty(0, int), np.empty(0, int))
+
+
 def _pieces(pdf: pd.DataFrame, column: str, chars: int = 600_000) -> Iterator[tuple[pd.DataFrame, list[str]]]:
     """The frame in pieces of about `chars` characters, with their cleaned texts; whole texts always."""
     texts = [clean(t) for t in pdf[column]]
@@ -231,15 +244,18 @@ class HistoryDedup:
         sketches = self.spark.read.schema("tid long, sk binary").parquet(*self.fresh_at)  # each text once
         return found.join(sketches, "tid").select("j", "k1", "k2", "tid", "sk")
 
-    def _windows(self, rows: DataFrame, n: int, at: str) -> DataFrame:
-        """Candidate pairs (a, b) of texts, at least one of them new, inside windows of the `n` sorted rows.
+    def _candidates(self, rows: DataFrame, n: int, at: str) -> DataFrame:
+        """Candidate pairs (a, b) of texts, at least one of them new, of the `n` key rows: neighbours in windows, and whole groups that a window can't cover.
 
-        The sort is over ranges of (key, id), so rows of one hot key are spread
-        over tasks. The ends of neighbouring tasks, 2 * window rows of each,
-        meet in a second step: border by border, or all in one row of tasks
-        where a task got less than a window, so that no pair is lost.
+        One sort over ranges of (key, id) serves both, so rows of one hot key
+        are spread over tasks. The ends of neighbouring tasks, 2 * window rows
+        of each, meet in a second step: border by border, or all in one row of
+        tasks where a task got less than a window, so that no pair is lost. A
+        group of equal keys that lies inside one task is compared there; the
+        rows of groups that may reach beyond it, or that outgrow a tile, are
+        handed on and cut into tiles.
         """
-        w, least, agree = self.s.window, self.s.sketch_min, self.s.agree
+        w, least, agree, tile = self.s.window, self.s.sketch_min, self.s.agree, self.s.tile
 
         def compare(pdf: pd.DataFrame) -> pd.DataFrame:
             if len(pdf) < 2:
@@ -255,17 +271,63 @@ class HistoryDedup:
                 b.append(np.maximum(tid[i], tid[i + d]))
             return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
 
+        def within(pdf: pd.DataFrame, starts: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
+            """Pairs of the groups of rows starts to ends: each new row with every other row."""
+            tid, new = pdf["tid"].to_numpy(), pdf["new"].to_numpy()
+            sk, size = opened(pdf["sk"])
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for s, e in zip(starts, ends, strict=True):
+                r = np.arange(s, e)
+                p, q = r[new[s:e]], r[~new[s:e]]
+                for other in (p, q):
+                    i, j = agreeing(sk[p], sk[other], least)
+                    if other is p:
+                        i, j = i[i < j], j[i < j]
+                    ok = sizes_agree(size[p[i]], size[other[j]], agree)
+                    u, v = tid[p[i[ok]]], tid[other[j[ok]]]
+                    a.append(np.minimum(u, v))
+                    b.append(np.maximum(u, v))
+            return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             from pyspark import TaskContext
 
+            def found(pairs: pd.DataFrame) -> pd.DataFrame:
+                return pairs.assign(border=-1, j=0, k1=0, k2=0, tid=0, sk=b"", new=False, short=False)
+
+            def handed(rows: pd.DataFrame) -> pd.DataFrame:
+                return rows.assign(border=-2, a=0, b=0, short=False)
+
             pid, tail, head, size = TaskContext.get().partitionId(), None, None, 0
+            held, inside = None, False  # the group that has not ended, and whether it began in this task and fits a tile
             for pdf in frames:
+                if not len(pdf):
+                    continue
                 head = pdf.head(w) if head is None else pd.concat([head, pdf.head(w - len(head))]) if len(head) < w else head
                 size += len(pdf)
                 both = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
-                yield compare(both).assign(border=-1, j=0, k1=0, k2=0, tid=0, sk=b"", new=False, short=False)
+                yield found(compare(both))
                 tail = both.tail(w).reset_index(drop=True)
+                both = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+                k = both[["j", "k1", "k2"]].to_numpy()
+                starts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(1))))
+                last, ends = starts[-1], starts[1:]
+                if len(ends):
+                    starts = starts[:-1]
+                    on = ends - starts > tile
+                    on[0] |= not inside
+                    if on.any():
+                        yield handed(both.iloc[:last][np.repeat(on, ends - starts)])
+                    big = ~on & (ends - starts > w + 1) & (np.add.reduceat(both["new"].to_numpy()[:last].astype(int), starts) > 0)
+                    if big.any():
+                        yield found(within(both, starts[big], ends[big]))
+                    inside = True
+                held = both.iloc[last:].reset_index(drop=True)
+                if len(held) > 1 and (len(held) > tile or not inside):
+                    yield handed(held.iloc[:-1])
+                    held, inside = held.iloc[-1:].reset_index(drop=True), False
             if size:
+                yield handed(held)
                 yield head.assign(border=pid, a=0, b=0, short=size < w)
                 yield tail.assign(border=pid + 1, a=0, b=0, short=size < w)
 
@@ -283,9 +345,10 @@ class HistoryDedup:
         got = ends.where("border > 0 or not short").agg(F.max("short"), F.countDistinct("border")).first()
         if got[0] or (got[1] or 0) < parts + 1:
             ends = ends.withColumn("border", F.lit(0))
-        return out.where("border < 0").select("a", "b").unionByName(ends.groupBy("border").applyInPandas(meet, "a long, b long")).distinct()
+        pairs = out.where("border = -1").select("a", "b").unionByName(ends.groupBy("border").applyInPandas(meet, "a long, b long"))
+        return pairs.unionByName(self._tiled(out.where("border = -2").select("j", "k1", "k2", "tid", "sk", "new"))).distinct()
 
-    def _oversized(self, rows: DataFrame) -> DataFrame:
+    def _tiled(self, rows: DataFrame) -> DataFrame:
         """Candidate pairs (a, b) inside the groups of equal keys that a window can't cover: each new row with every other row.
 
         The new and the old rows of a group are cut into slices by id, and each
@@ -294,17 +357,6 @@ class HistoryDedup:
         """
         least, agree, tile, group = self.s.sketch_min, self.s.agree, self.s.tile, ["j", "k1", "k2"]
 
-        def compare(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            xt, yt, found = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), []
-            step = max(1, 1_000_000 // max(1, len(y)))
-            for i in range(0, len(x), step):
-                same = np.zeros((min(step, len(x) - i), len(y)), np.uint8)
-                for p in range(PERMS):
-                    same += xt[p, i : i + step, None] == yt[p]
-                a, b = np.nonzero(same >= least)
-                found.append((a + i, b))
-            return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (np.empty(0, int), np.empty(0, int))
-
         def pairs_of(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
             tid, new, own = pdf["tid"].to_numpy(), pdf["new"].to_numpy(), pdf["own"].to_numpy()
             kind, left, right = pdf["kind"].to_numpy(), pdf["x"].to_numpy(), pdf["y"].to_numpy()
@@ -316,7 +368,7 @@ class HistoryDedup:
                     p, q = r[new[s:e]], r[~new[s:e]]
                 else:
                     p, q = r[own[s:e] == left[s]], r[own[s:e] == right[s]]
-                i, j = compare(sk[p], sk[q])
+                i, j = agreeing(sk[p], sk[q], least)
                 if kind[s] == 1 and left[s] == right[s]:
                     i, j = i[i < j], j[i < j]
                 ok = sizes_agree(size[p[i]], size[q[j]], agree)
@@ -359,7 +411,7 @@ class HistoryDedup:
                     yield pdf.loc[may_agree(x, y, agree), ["a", "b"]]
 
         ids = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-        counts = self._members("tid long, counts binary").join(ids, "tid", "left_semi").dropDuplicates(["tid"])
+        counts = sifted(self._members("tid long, counts binary"), ids, "tid").join(ids, "tid", "left_semi").dropDuplicates(["tid"])
         both = pairs.join(counts.select(F.col("tid").alias("a"), F.col("counts").alias("x")), "a").join(counts.select(F.col("tid").alias("b"), F.col("counts").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
@@ -391,9 +443,9 @@ class HistoryDedup:
                 yield pdf.loc[ok, ["a", "b"]]
 
         ids = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-        first = self._members().join(ids, "tid", "left_semi").groupBy("tid").agg(F.min("ord").alias("ord"))
-        first = first.withColumn("job_id", F.expr("substring(ord, 12)"))
-        texts = source.where("raw_text is not null").select("job_id", "raw_text").join(first.select("job_id", "tid"), "job_id").dropDuplicates(["tid"])
+        first = sifted(self._members(), ids, "tid").join(ids, "tid", "left_semi").groupBy("tid").agg(F.min("ord").alias("ord"))
+        first = stored(first.select("tid", F.expr("substring(ord, 12)").alias("job_id")), f"{self.path}/firsts/{self.batches}")
+        texts = sifted(source.where("raw_text is not null").select("job_id", "raw_text"), first, "job_id").join(first, "job_id").dropDuplicates(["tid"])
         u = texts.select("tid", "raw_text").mapInPandas(units, "tid long, u binary")
         u = stored(u, f"{self.path}/units/{self.batches}")
         both = pairs.join(u.select(F.col("tid").alias("a"), "u"), "a").join(u.select(F.col("tid").alias("b"), F.col("u").alias("v")), "b")
@@ -421,11 +473,13 @@ class HistoryDedup:
             if self.runs:
                 rows = rows.unionByName(self._met(keys).withColumn("new", F.lit(False)))
             rows = stored(rows, f"{self.path}/met/{i}")
-            pairs = stored(self._windows(rows, rows.count(), f"{self.path}/windows/{i}").unionByName(self._oversized(rows)).distinct(), f"{self.path}/pairs/{i}")
+            pairs = stored(self._candidates(rows, rows.count(), f"{self.path}/windows/{i}"), f"{self.path}/pairs/{i}")
             removed(self.spark, f"{self.path}/met/{i}")
             pairs = stored(self._bounded(pairs), f"{self.path}/candidates/{i}")
             links = stored(self._verified(pairs, source), f"{self.path}/links/{i}")
             self._relabel(links)
+            for name in ("windows", "pairs", "candidates", "firsts", "units", "links", "names"):
+                removed(self.spark, f"{self.path}/{name}/{i}")
             self.runs.append(self._write_run(keys, n * self.s.keys, f"{self.path}/runs/{i}"))
             self.fresh_at.append(f"{self.path}/fresh/{i}")
             self._compact()
@@ -461,6 +515,8 @@ class HistoryDedup:
             self.merges += 1
             merged = self._write_run(one, sum(r.rows for r in full), f"{self.path}/runs/merged-{self.merges}")
             self.runs = [r for r in self.runs if r not in full] + [merged]
+            for r in full:
+                removed(self.spark, r.path)
 
     # -- results ----------------------------------------------------------
     def members(self) -> DataFrame:

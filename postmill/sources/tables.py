@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +71,24 @@ def spread(df: DataFrame, least: int = 4) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def sifted(df: DataFrame, ids: DataFrame, column: str, log_bits: int = 26) -> DataFrame:
+    """The rows of `df` whose `column` is in `ids`, and a few of the others: what a join with `ids` has to shuffle.
+
+    A bitmap of hashes is broadcast, sixteen bits an id and 2 ** log_bits (8 MB)
+    at most; with more ids than that serves, more of the other rows stay, but
+    no row of `ids` is ever lost.
+    """
+    place = lambda n: F.expr(f"xxhash64(`{column}`) & {n - 1}L")
+    words = ids.select(place(1 << log_bits).alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("b")).collect()
+    w, b = (np.array([r[i] for r in words], np.int64) for i in (0, 1))
+    size = 1 << min(log_bits, max(10, (16 * len(words)).bit_length()))
+    bits = np.zeros(size // 64, np.int64)
+    np.bitwise_or.at(bits, w & (size // 64 - 1), b)
+    one = df.sparkSession.createDataFrame([(bits.tolist(),)], "sieve array<long>")
+    hit = F.expr("getbit(sieve[cast(shiftright(h, 6) as int)], cast(h & 63 as int)) = 1")
+    return df.withColumn("h", place(size)).crossJoin(F.broadcast(one)).where(hit).drop("h", "sieve")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Is there a file or folder at `path`, on whatever file system it names?"""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

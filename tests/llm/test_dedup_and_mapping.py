@@ -9,6 +9,7 @@ from postmill.llm.history_dedup import HistoryDedup, Settings, bucket_counts, de
 from postmill.llm.textarrays import mix
 from postmill.llm.value_mapping import Settings as MapSettings
 from postmill.llm.value_mapping import distance, map_values, orders, squashed, token_set, written
+from postmill.sources.tables import sifted
 
 POST = "job_id string, first_seen date, raw_text string, tid long"
 
@@ -66,6 +67,70 @@ def test_copies_inside_an_oversized_group_are_found(spark):
         assert {tuple(r) for r in dedup_in_batches(df, settings=s).pairs().collect()} == want
 
 
+def shuffled(spark):
+    """Bytes written to shuffles by the session so far."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    gateway = spark.sparkContext._gateway
+    stages = sc.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_without_a_copy_are_not_shuffled(spark, tmp_path):
+    """800 texts, ten of them with a copy, where no side of a join is small enough to be broadcast: less is shuffled than the texts have bytes."""
+    rows = [(f"g{i:03}", date(2026, 5, 4), " ".join(f"{random.Random(i * 1000 + k).getrandbits(64):x}" for k in range(300))) for i in range(800)]
+    copies = [(f"z{i:03}", date(2026, 5, 5), altered(rows[i][2].split(), 8, i)) for i in range(10)]
+    spark.createDataFrame([(*r, 1) for r in rows + copies], POST).repartition(4).write.parquet(f"{tmp_path}/texts")
+    df = spark.read.parquet(f"{tmp_path}/texts")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled(spark)
+        state = HistoryDedup(spark)
+        state.accept(df, df)
+        assert shuffled(spark) - before < 0.5 * sum(len(r[2]) for r in rows)
+        assert {tuple(r) for r in state.pairs().collect()} == {(f"g{i:03}", f"z{i:03}") for i in range(10)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+@pytest.mark.parametrize("tile", [40, 16384])
+def test_candidates_of_groups_against_brute_force(spark, tile):
+    """Groups of equal keys of every size, over several tasks, each new row with all others of its group; ends of tasks fall inside groups."""
+    r, rows = random.Random(11), []
+    for g, size in enumerate([1, 3, 9, 10, 11, 30, 300, 900] * 3):
+        base = bytes(r.randrange(256) for _ in range(32))
+        for i in range(size):
+            sk = bytearray(base)
+            for k in r.sample(range(32), r.randrange(10, 32)):
+                sk[k] = r.randrange(256)
+            rows.append((g % 3, g // 3, g, r.getrandbits(62), bytes(sk) + int(r.choice([100, 100, 190])).to_bytes(4, "little"), r.random() < (0.02 if g % 2 else 0.3)))
+    df = spark.createDataFrame(rows, "j int, k1 int, k2 int, tid long, sk binary, new boolean")
+    s = Settings(tile=tile)
+    state = HistoryDedup(spark, s)
+    found = [tuple(x) for x in state._candidates(df, 20_000, f"{state.path}/windows/0").collect()]
+    got, want, groups = set(found), set(), {}
+    for x in rows:
+        groups.setdefault(x[:3], []).append(x)
+    for group in groups.values():
+        sk, size = np.array([list(x[4][:32]) for x in group]), np.array([int.from_bytes(x[4][32:], "little") for x in group])
+        for i in np.flatnonzero([x[5] for x in group]):
+            ok = ((sk == sk[i]).sum(1) >= s.sketch_min) & (2 * np.minimum(size, size[i]) >= s.agree * (size + size[i]))
+            want |= {tuple(sorted((group[i][3], group[j][3]))) for j in np.flatnonzero(ok) if j != i}
+    assert len(found) == len(got) and len(want) > 1000 and want <= got
+    # windows reach into the next group, no further
+    of, order = {x[3]: x for x in rows}, {x[3]: i for i, x in enumerate(sorted(rows))}
+    assert all(of[a][0] == of[b][0] and abs(order[a] - order[b]) <= s.window for a, b in got - want)
+
+
+def test_a_sieve_loses_no_row(spark):
+    df, ids = spark.range(20000).selectExpr("id", "cast(id as string) as name"), spark.range(0, 20000, 100).selectExpr("cast(id as string) as name")
+    for log_bits, most in ((26, 2000), (7, 20000)):
+        got = sifted(df, ids, "name", log_bits)
+        assert got.columns == ["id", "name"] and got.join(ids, "name").count() == 200 and got.count() <= most
+    assert sifted(df, ids.limit(0), "name").count() == 0
+
+
 def test_bucket_counts_never_reject_an_agreeing_pair():
     rng = np.random.default_rng(4)
     for size in (1, 40, 3000):
